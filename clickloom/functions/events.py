@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -18,13 +17,14 @@ def named(*names: str) -> Column:
     return F.col("event_name").isin(*names)
 
 
-def named_above_watermark(names: Iterable[str], time_col: str = "event_time") -> Column:
-    """The same predicate for streams.
+def above_watermark(condition: Column, time_col: str = "event_time") -> Column:
+    """The same predicate for streams, where it must not move below the watermark node.
 
-    It mentions the event-time column, so the optimizer leaves it above the watermark
-    node and events that are filtered out still move the watermark forward.
+    Otherwise events that are filtered out would not advance the watermark. A predicate
+    that takes its truth from the event-time column stays above it; one that merely tests
+    the column for NULL would be simplified away where the column is never NULL.
     """
-    return F.when(F.col(time_col).isNotNull(), named(*names)).otherwise(F.lit(False))
+    return F.when(condition, F.col(time_col)).isNotNull()
 
 
 def is_purchase() -> Column:

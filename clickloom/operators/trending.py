@@ -138,6 +138,13 @@ def _near_winners(pieces: DataFrame, group: list[str], k: int, rank_by: str) ->
     return pieces.withColumn("place", place).withColumn("bar", bar).where(kept)
 
 
+def rank_products(sums: DataFrame, k: int = TOP, rank_by: str = "amount") -> DataFrame:
+    """The same ranking for rows that already are one per window, event type, product."""
+    best = Window.partitionBy("window_end", "event_name").orderBy(
+        F.desc(rank_by), F.desc("quantity"), F.asc("product_id"))
+    return sums.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
 def grand_totals(events: DataFrame, sliding: Sliding = LIVE,
                  time_col: str = "event_time") -> DataFrame:
     """Quantity and revenue per window over both event types."""
