@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from clickloom.schemas import PURCHASE
 
+# Before year 1, the first that a timestamp can show.
+EARLIEST_MICROS = -(10**17)
+
 DateLike = str | date | Column
 
 
@@ -20,11 +23,11 @@ def named(*names: str) -> Column:
 def above_watermark(condition: Column, time_col: str = "event_time") -> Column:
     """The same predicate for streams, where it must not move below the watermark node.
 
-    Otherwise events that are filtered out would not advance the watermark. A predicate
-    that takes its truth from the event-time column stays above it; one that merely tests
-    the column for NULL would be simplified away where the column is never NULL.
+    Otherwise events that are filtered out would not advance the watermark. Spark keeps a
+    predicate on the event-time column above the node. It has to compare the column's
+    value: a mere NULL test is simplified away where the column is never NULL.
     """
-    return F.when(condition, F.col(time_col)).isNotNull()
+    return F.when(condition, F.unix_micros(time_col)) > F.lit(EARLIEST_MICROS)
 
 
 def is_purchase() -> Column:
