@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.schemas import TIME_FORMAT
+from clickloom.schemas import TIME_FORMAT, TIME_OF_DAY_FORMAT
 
 
 def parse_time(text: Column) -> Column:
@@ -24,9 +24,10 @@ def temporals_as_text(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return time_text(column).alias(field.name)
-        if field.dataType.typeName().startswith("time"):
-            # TIME(0) prints as HH:mm:ss; the cast also cuts fractions off.
-            return column.cast("time(0)").cast("string").alias(field.name)
+        if isinstance(field.dataType, T.TimeType):
+            # TIME has no format function; its text begins with HH:mm:ss.
+            return F.substring(column.cast("string"), 1, len(TIME_OF_DAY_FORMAT)).alias(
+                field.name)
         return column
 
     return df.select(*[as_text(field) for field in df.schema.fields])

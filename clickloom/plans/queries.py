@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from clickloom.operators import abandonment, enrich, funnel, historic, trending
 from clickloom.operators.sliding import LIVE, Sliding
-from clickloom.schemas import ADD_TO_CART, PURCHASE
+from clickloom.schemas import ADD_TO_CART, PURCHASE, schema_of
 from clickloom.session import work_path
 from clickloom.sources import adapters, extract, messages, readers, sinks
 from clickloom.streaming import jobs
@@ -295,7 +295,7 @@ def stream_messages(spark, sf_dir):
     path = work_path(spark, "messages")
     metrics = jobs.funnel_stream(_event_stream(spark, sf_dir), COARSE)
     sinks.drain(sinks.publish_stream(metrics, f"{path}-checkpoint", path=path))
-    schema = T.StructType.fromDDL("""
+    schema = schema_of("""
         window_end TIMESTAMP, session_count BIGINT, add_to_cart_count BIGINT,
         purchase_count BIGINT, purchase_percentage DOUBLE""")
     options = {"timestampFormat": "yyyy-MM-dd HH:mm:ss"}

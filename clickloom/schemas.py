@@ -14,8 +14,18 @@ TIME_OF_DAY_FORMAT = "HH:mm:ss"
 SALES_EVENTS = (ADD_TO_CART, PURCHASE)
 KNOWN_EVENTS = (PAGE_VIEW, ADD_TO_CART, PURCHASE)
 
+_KINDS = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(),
+          "date": T.DateType(), "timestamp": T.TimestampType()}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """A schema from ``name kind`` pairs; unlike DDL it needs no running session."""
+    pairs = [pair.split() for pair in columns.split(",")]
+    return T.StructType([T.StructField(name, _KINDS[kind.lower()]) for name, kind in pairs])
+
+
 # The history table, column by column, in its published order.
-ENRICHED = T.StructType.fromDDL("""
+ENRICHED = schema_of("""
     customer_id BIGINT, session_id STRING, event_name STRING, event_time STRING,
     event_id STRING, traffic_source STRING, event_metadata STRING, payment_status STRING,
     search_keywords STRING, booking_id STRING, product_id DOUBLE, quantity DOUBLE,
@@ -31,7 +41,7 @@ ENRICHED = T.StructType.fromDDL("""
 # The message payload is the first part of the same contract.
 EVENT = T.StructType(ENRICHED.fields[:14])
 
-CUSTOMER = T.StructType.fromDDL("""
+CUSTOMER = schema_of("""
     customer_id BIGINT, first_name STRING, last_name STRING, username STRING, email STRING,
     gender STRING, birthdate DATE, device_type STRING, device_id STRING,
     device_version STRING, home_location_lat DOUBLE, home_location_long DOUBLE,
@@ -39,7 +49,7 @@ CUSTOMER = T.StructType.fromDDL("""
 """)
 
 # The product table as stored, and the names its columns carry on an event.
-PRODUCT = T.StructType.fromDDL("""
+PRODUCT = schema_of("""
     id BIGINT, gender STRING, mastercategory STRING, subcategory STRING,
     articletype STRING, basecolour STRING, season STRING, year BIGINT, usage STRING,
     productdisplayname STRING
