@@ -20,14 +20,14 @@ def time_text(value: Column) -> Column:
 
 def temporals_as_text(df: DataFrame) -> DataFrame:
     """Every temporal column as text: date and time, or the time of day alone."""
-    def as_text(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
+    def as_text(field: T.StructField) -> Column | str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return time_text(column).alias(field.name)
+            return time_text(F.col(name)).alias(field.name)
         if isinstance(field.dataType, T.TimeType):
             # TIME has no format function; its text begins with HH:mm:ss.
-            return F.substring(column.cast("string"), 1, len(TIME_OF_DAY_FORMAT)).alias(
-                field.name)
-        return column
+            text = F.col(name).cast("string")
+            return F.substring(text, 1, len(TIME_OF_DAY_FORMAT)).alias(field.name)
+        return name
 
     return df.select(*[as_text(field) for field in df.schema.fields])

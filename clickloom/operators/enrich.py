@@ -49,9 +49,9 @@ def lookup(events: DataFrame, dimension: DataFrame, key: str, salts: int = 1,
         on = on & (F.col(_SALT) == F.col("_dim_salt"))
     joined = events.join(renamed, on, "left")
 
-    def resolved(name: str) -> Column:
+    def resolved(name: str) -> Column | str:
         if name not in shared:
-            return F.col(name)
+            return name
         return F.when(F.col(_MATCH), F.col(f"_dim_{name}")).otherwise(F.col(name)).alias(name)
 
     added = [c for c in dimension.columns if c not in events.columns]

@@ -32,7 +32,7 @@ def _register(query: Query) -> Query:
         result = query(spark, sf_dir)
         return result.select(*[
             F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
-            if isinstance(f.dataType, (T.DateType, T.TimestampType)) else F.col(f"`{f.name}`")
+            if isinstance(f.dataType, (T.DateType, T.TimestampType)) else f"`{f.name}`"
             for f in result.schema.fields
         ])
 

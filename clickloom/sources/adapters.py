@@ -2,47 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from clickloom.schemas import ADD_TO_CART, PAGE_VIEW, PURCHASE
 
-TRAFFIC_SOURCES = ("Direct", "Search", "Email", "Social")
+# The driver's tables never change, so each file's schema is inferred once per process.
+_schemas: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _event_name(event_type: Column) -> Column:
-    return (
-        F.when(event_type == "view", PAGE_VIEW)
-        .when(event_type == "click", ADD_TO_CART)
-        .when(event_type == "purchase", PURCHASE)
-        .otherwise(F.upper(event_type))
-    )
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def as_clickstream(events: DataFrame) -> DataFrame:
     """Works on a batch or a streaming read of ``events``; ``event_time`` is a timestamp."""
-    event_id = F.col("event_id")
-    return events.select(
-        F.col("user_id").alias("customer_id"),
-        F.concat_ws("-", "user_id", F.to_date("ts")).alias("session_id"),
-        _event_name(F.col("event_type")).alias("event_name"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        event_id.cast("string").alias("event_id"),
-        F.element_at(F.array(*map(F.lit, TRAFFIC_SOURCES)), (event_id % 4 + 1).cast("int"))
-        .alias("traffic_source"),
-        F.col("props").alias("event_metadata"),
-        F.when(F.col("event_type") == "purchase", "Success").alias("payment_status"),
-        F.lit(None).cast("string").alias("search_keywords"),
-        F.when(F.col("event_type") == "purchase", F.concat(F.lit("B"), event_id))
-        .alias("booking_id"),
-        F.get_json_object("props", "$.k").cast("double").alias("product_id"),
-        (event_id % 3 + 1).cast("double").alias("quantity"),
-        F.col("value").alias("item_price"),
-        F.col("value").alias("price_usd"),
+    return events.selectExpr(
+        "user_id AS customer_id",
+        "concat_ws('-', user_id, to_date(ts)) AS session_id",
+        f"""CASE event_type WHEN 'view' THEN '{PAGE_VIEW}' WHEN 'click' THEN '{ADD_TO_CART}'
+            WHEN 'purchase' THEN '{PURCHASE}' ELSE upper(event_type) END AS event_name""",
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        "CAST(event_id AS STRING) AS event_id",
+        """CASE event_id % 4 WHEN 0 THEN 'Direct' WHEN 1 THEN 'Search' WHEN 2 THEN 'Email'
+            ELSE 'Social' END AS traffic_source""",
+        "props AS event_metadata",
+        "CASE WHEN event_type = 'purchase' THEN 'Success' END AS payment_status",
+        "CAST(NULL AS STRING) AS search_keywords",
+        "CASE WHEN event_type = 'purchase' THEN concat('B', event_id) END AS booking_id",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS product_id",
+        "CAST(event_id % 3 + 1 AS DOUBLE) AS quantity",
+        "value AS item_price",
+        "value AS price_usd",
     )
 
 
@@ -52,48 +46,41 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` in the stored shape (schemas.CUSTOMER)."""
-    key = F.col("c_custkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            key.alias("customer_id"),
-            F.substring_index("c_name", "#", 1).alias("first_name"),
-            F.substring_index("c_name", "#", -1).alias("last_name"),
-            F.lower("c_name").alias("username"),
-            F.concat(F.lit("c"), key, F.lit("@example.com")).alias("email"),
-            F.when(key % 2 == 0, "F").otherwise("M").alias("gender"),
-            F.date_add(F.lit("1960-01-01").cast("date"), (key % 15000).cast("int"))
-            .alias("birthdate"),
-            F.col("c_mktsegment").alias("device_type"),
-            F.concat(F.lit("dev-"), key).alias("device_id"),
-            F.concat(F.lit("v"), key % 5).alias("device_version"),
-            (key % 18 * 10 - 85).cast("double").alias("home_location_lat"),
-            (key % 12 * 30 - 165).cast("double").alias("home_location_long"),
-            F.concat(F.lit("city-"), key % 100).alias("home_location"),
-            F.col("n_name").alias("home_country"),
-            F.date_add(F.lit("2015-01-01").cast("date"), (key % 3000).cast("int"))
-            .alias("first_join_date"),
-        )
+    customers = table(spark, sf_dir, "customer")
+    with_nation = customers.join(
+        nation, customers["c_nationkey"] == nation["n_nationkey"], "left")
+    return with_nation.selectExpr(
+        "c_custkey AS customer_id",
+        "substring_index(c_name, '#', 1) AS first_name",
+        "substring_index(c_name, '#', -1) AS last_name",
+        "lower(c_name) AS username",
+        "concat('c', c_custkey, '@example.com') AS email",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
+        "date_add(DATE '1960-01-01', CAST(c_custkey % 15000 AS INT)) AS birthdate",
+        "c_mktsegment AS device_type",
+        "concat('dev-', c_custkey) AS device_id",
+        "concat('v', c_custkey % 5) AS device_version",
+        "CAST(c_custkey % 18 * 10 - 85 AS DOUBLE) AS home_location_lat",
+        "CAST(c_custkey % 12 * 30 - 165 AS DOUBLE) AS home_location_long",
+        "concat('city-', c_custkey % 100) AS home_location",
+        "n_name AS home_country",
+        "date_add(DATE '2015-01-01', CAST(c_custkey % 3000 AS INT)) AS first_join_date",
     )
 
 
 def product_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` in the stored shape (schemas.PRODUCT), before projection and renaming."""
-    size = F.col("p_size")
-    pick = lambda *names: F.element_at(
-        F.array(*map(F.lit, names)), size % len(names) + 1
-    )
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"),
-        pick("Men", "Women", "Unisex").alias("gender"),
-        F.col("p_type").alias("mastercategory"),
-        F.col("p_brand").alias("subcategory"),
-        F.substring_index("p_name", " ", -1).alias("articletype"),
-        F.substring_index("p_name", " ", 1).alias("basecolour"),
-        pick("Spring", "Summer", "Fall", "Winter").alias("season"),
-        (size % 10 + 2010).cast("bigint").alias("year"),
-        pick("Casual", "Formal").alias("usage"),
-        F.col("p_name").alias("productdisplayname"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id",
+        "CASE p_size % 3 WHEN 0 THEN 'Men' WHEN 1 THEN 'Women' ELSE 'Unisex' END AS gender",
+        "p_type AS mastercategory",
+        "p_brand AS subcategory",
+        "substring_index(p_name, ' ', -1) AS articletype",
+        "substring_index(p_name, ' ', 1) AS basecolour",
+        """CASE p_size % 4 WHEN 0 THEN 'Spring' WHEN 1 THEN 'Summer' WHEN 2 THEN 'Fall'
+            ELSE 'Winter' END AS season""",
+        "CAST(p_size % 10 + 2010 AS BIGINT) AS year",
+        "CASE p_size % 2 WHEN 0 THEN 'Casual' ELSE 'Formal' END AS usage",
+        "p_name AS productdisplayname",
     )

@@ -28,7 +28,9 @@ def parse_messages(messages: DataFrame, schema: T.StructType = EVENT) -> DataFra
     read_schema = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     raw = F.col("value").cast("string")
     event = F.from_json(raw, read_schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = messages.select(raw.alias("raw"), event.alias("_event"))
+    # The explode of one element keeps the decoding in one place. As a plain column it would
+    # be repeated in every filter and projection that the optimizer moves onto it.
+    parsed = messages.select(raw.alias("raw"), F.explode(F.array(event)).alias("_event"))
     fields = [_not_nan(field) for field in schema.fields if field.name != "event_time"]
     time = parse_time(F.col("_event.event_time"))
     error = (
