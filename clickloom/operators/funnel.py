@@ -30,8 +30,21 @@ def percentages() -> list[Column]:
     ]
 
 
+def session_panes(events: DataFrame, sliding: Sliding = LIVE,
+                  time_col: str = "event_time") -> DataFrame:
+    """Event counts per session and pane; a hot session is folded on the map side."""
+    pane = sliding.pane_of(F.col(time_col)).alias("pane")
+    return events.select("session_id", "event_name", pane).groupBy(
+        "session_id", "pane").agg(*event_counts())
+
+
 def funnel(events: DataFrame, sliding: Sliding = LIVE, time_col: str = "event_time") -> DataFrame:
-    """``window_start, window_end, session_count``, three counts, three percentages.
+    """``window_start, window_end, session_count``, three counts, three percentages."""
+    return funnel_of_panes(session_panes(events, sliding, time_col), sliding)
+
+
+def funnel_of_panes(panes: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
+    """The funnel from session panes.
 
     A session counts once per window, in the window's first pane that holds it. So pane
     ``p`` brings the session to the windows ``[max(p, q + n), p + n)``, ``q`` being its
@@ -40,13 +53,9 @@ def funnel(events: DataFrame, sliding: Sliding = LIVE, time_col: str = "event_ti
     """
     n = sliding.panes
     pane = F.col("pane")
-    per_session = (
-        events.select("session_id", "event_name", sliding.pane_of(F.col(time_col)).alias("pane"))
-        .groupBy("session_id", "pane").agg(*event_counts())
-    )
     earlier = F.lag("pane").over(Window.partitionBy("session_id", "span").orderBy("pane"))
-    panes = (
-        with_spans(per_session, sliding)
+    joined = (
+        with_spans(panes, sliding)
         .withColumn("joins", F.greatest(pane, F.coalesce(earlier + n, pane)))
         .where(span_of(pane, sliding.span) == F.col("span"))
     )
@@ -69,7 +78,7 @@ def funnel(events: DataFrame, sliding: Sliding = LIVE, time_col: str = "event_ti
     )
     measures = ["session_count", *COUNTS]
     changes = (
-        panes.select(F.explode(F.when(crosses, F.concat(marks, carried)).otherwise(marks))
+        joined.select(F.explode(F.when(crosses, F.concat(marks, carried)).otherwise(marks))
                      .alias("m"))
         .groupBy("m.w").agg(*[F.sum(f"m.{c}").alias(c) for c in measures])
     )

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from clickloom.operators.abandonment import abandoned_carts, abandonment_totals
 from clickloom.operators.funnel import funnel
 from clickloom.operators.sliding import Sliding
-from clickloom.operators.trending import top_products
+from clickloom.operators.trending import top_products, trending_totals
 from clickloom.session import work_path
 from clickloom.sources import messages, readers, sinks
-from clickloom.streaming import jobs
+from clickloom.streaming import jobs, panes
 from events import SCHEMA, make_events, random_rows, same
 from test_enrich import plan_of
 
@@ -227,3 +227,28 @@ def test_extract_pages_advance_without_gap_or_repeat(spark, events):
     assert tuple(next_checkpoint(source.limit(0)).first()) == (None, None)
     assert "TakeOrderedAndProject" in plan_of(next_page(source, ("2024-01-01", "")))
     assert SCHEMA  # the source has the event schema the sinks expect
+
+
+def last_closed(df, sliding, end):
+    """Windows up to the last pane that holds an event before ``end``."""
+    seen = df.where(F.col("event_time") < F.lit(end).cast("timestamp"))
+    newest = seen.agg(F.max(sliding.pane_of(F.col("event_time")))).first()[0]
+    return F.col("window_end") <= F.timestamp_micros(F.lit((newest + 1) * sliding.slide * 10**6))
+
+
+@pytest.mark.parametrize("hours,files", [(2, 4), (30, 3)])
+def test_windows_from_stored_panes_equal_batch(spark, feed, hours, files):
+    rows = random_rows(7, 240, sessions=8, products=15, hours=hours, hot=0.3)
+    for part in in_order(rows, files):
+        feed.publish(*part)
+    sales = feed.batch().where("event_name IN ('ADD_TO_CART', 'BOOKING')")
+    expected_funnel = funnel(feed.batch(), SHAPE).where(last_closed(feed.batch(), SHAPE, FAR))
+    expected_top = top_products(sales, SHAPE, k=3).where(last_closed(sales, SHAPE, FAR))
+    expected_totals = trending_totals(sales, SHAPE).where(last_closed(sales, SHAPE, FAR))
+    feed.publish(("s", "NOOP", FAR, 1.0, 1.0, 1.0))
+    path = work_path(spark, "panes")
+    sinks.drain(panes.funnel_writer(feed.events(), f"{path}/f", f"{path}/f-cp", SHAPE))
+    assert same(spark.read.parquet(f"{path}/f/funnel").drop("batch"), expected_funnel)
+    sinks.drain(panes.trending_writer(feed.events(), f"{path}/t", f"{path}/t-cp", SHAPE, k=3))
+    assert same(spark.read.parquet(f"{path}/t/top").drop("batch"), expected_top)
+    assert same(spark.read.parquet(f"{path}/t/totals").drop("batch"), expected_totals)
