@@ -19,7 +19,7 @@ HEADLINE = [
     "parsed_events", "json_messages", "incremental_extract",
     "funnel_10s", "top_products_10s", "trending_totals_10s", "live_tiles",
     "abandoned_carts_5min", "abandonment_totals_10s",
-    "stream_funnel", "stream_top_products", "stream_abandonment_totals", "stream_history",
+    "stream_funnel", "stream_funnel_10s", "stream_top_products", "stream_abandonment_totals", "stream_history",
 ]
 
 

@@ -148,6 +148,13 @@ def _window_start(s: Sliding) -> str:
 _CLOSED = "window_end <= (SELECT max(ts) FROM events)"
 
 
+def _up_to_last_pane(s: Sliding, where: str = "true") -> str:
+    """Windows that end no later than the last closed pane that holds an event."""
+    end = f"(epoch_us(event_time) // {s.slide * 1_000_000} + 1) * {s.slide * 1_000_000}"
+    return f"""window_end <= (SELECT make_timestamp(max({end})) FROM clicks
+  WHERE {where} AND {end} <= (SELECT max(epoch_us(ts)) FROM events))"""
+
+
 def _funnel_cte(s: Sliding) -> str:
     def count(name: str) -> str:
         return f"count(*) FILTER (event_name = '{name}')"
@@ -376,6 +383,12 @@ FROM totals GROUP BY window_start, window_end"""),
             LONG_GAP, COARSE, "SELECT window_end, abandoned_count, total_lost_sales FROM lost"),
         "stream_funnel": _funnel(COARSE, f"SELECT * FROM metrics WHERE {_CLOSED}"),
         "stream_top_products": _trending(COARSE, f"{_TOP} AND {_CLOSED}"),
+        "stream_funnel_10s": _funnel(
+            LIVE, f"SELECT * FROM metrics WHERE {_up_to_last_pane(LIVE)}"),
+        "stream_top_products_from_panes": _trending(
+            COARSE, f"{_TOP} AND {_up_to_last_pane(COARSE, _SALES)}"),
+        "stream_totals_from_panes": _trending(
+            COARSE, f"SELECT * FROM totals WHERE {_up_to_last_pane(COARSE, _SALES)}"),
         "stream_abandoned_carts": _carts(LONG_GAP, """SELECT * EXCLUDE (closed_at) FROM carts
 WHERE closed_at < (SELECT max(ts) FROM events)"""),
         "stream_abandonment_totals": _abandonment(

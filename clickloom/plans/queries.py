@@ -13,7 +13,7 @@ from clickloom.operators.sliding import LIVE, Sliding
 from clickloom.schemas import ADD_TO_CART, PURCHASE, schema_of
 from clickloom.session import work_path
 from clickloom.sources import adapters, extract, messages, readers, sinks
-from clickloom.streaming import jobs
+from clickloom.streaming import jobs, panes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,6 +259,32 @@ def stream_top_products(spark, sf_dir):
     return spark.read.parquet(path).drop("batch")
 
 
+@_register
+def stream_funnel_10s(spark, sf_dir):
+    """Live windows at their real slide, derived from stored panes."""
+    path = work_path(spark, "funnel-panes")
+    sinks.drain(panes.funnel_writer(
+        _event_stream(spark, sf_dir), path, f"{path}-checkpoint", LIVE))
+    return spark.read.parquet(f"{path}/funnel").drop("batch")
+
+
+def _trending_from_panes(spark, sf_dir, table):
+    path = work_path(spark, "trending-panes")
+    sinks.drain(panes.trending_writer(
+        _event_stream(spark, sf_dir), path, f"{path}-checkpoint", COARSE))
+    return spark.read.parquet(f"{path}/{table}").drop("batch")
+
+
+@_register
+def stream_top_products_from_panes(spark, sf_dir):
+    return _trending_from_panes(spark, sf_dir, "top")
+
+
+@_register
+def stream_totals_from_panes(spark, sf_dir):
+    return _trending_from_panes(spark, sf_dir, "totals")
+
+
 @_register
 def stream_abandoned_carts(spark, sf_dir):
     carts = jobs.abandoned_stream(_event_stream(spark, sf_dir), LONG_GAP).drop("session")

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from clickloom.functions.events import above_watermark, line_amount, named
 from clickloom.operators.funnel import event_counts, funnel_of_panes
-from clickloom.operators.sliding import LIVE, Sliding
+from clickloom.operators.sliding import LIVE, Sliding, span_of
 from clickloom.operators.trending import TOP, top_of_panes, totals_of_panes
 from clickloom.schemas import SALES_EVENTS
 
@@ -52,18 +52,18 @@ def windows_writer(panes: DataFrame, derive: dict[str, Derive], path: str, check
     """Keeps ``panes`` and writes one table per entry of ``derive`` below ``path``.
 
     Everything a micro-batch writes carries its id and is overwritten when the batch is
-    repeated. Of the panes, hours older than a window may be dropped at any time.
+    repeated. Of the panes, stretches older than a window may be dropped at any time.
     """
-    per_hour = max(3600 // sliding.slide, 1)
-    hour = F.floor(F.col("pane") / per_hour).cast("bigint")
+    stretch = span_of(F.col("pane"), sliding.span)
     # The number of the last pane of a window.
     window = sliding.pane_of(F.col("window_end")) - 1
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("hour", hour).withColumn("batch", F.lit(batch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "hour", "batch").parquet(f"{path}/panes")
+        rows = batch.withColumn("stretch", stretch).withColumn("batch", F.lit(batch_id))
+        rows.hint("rebalance", "stretch").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(
+            "stretch", "batch").parquet(f"{path}/panes")
         before = _progress(spark, path, batch_id - 1)
         stored = spark.read.schema(rows.schema).parquet(f"{path}/panes")
         newest = stored.where(F.col("batch") == batch_id).agg(F.max("pane")).first()[0]
@@ -73,10 +73,10 @@ def windows_writer(panes: DataFrame, derive: dict[str, Derive], path: str, check
             if before is not None:
                 oldest = before - sliding.panes
                 recent = recent.where(
-                    (F.col("hour") >= oldest // per_hour) & (F.col("pane") > oldest))
+                    (F.col("stretch") >= oldest // sliding.span) & (F.col("pane") > oldest))
                 fresh = fresh & (window > before)
             for name, windows in derive.items():
-                result = windows(recent.drop("hour", "batch")).where(fresh)
+                result = windows(recent.drop("stretch", "batch")).where(fresh)
                 result.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
         progress = spark.createDataFrame([(newest,)], "pane BIGINT")
         progress.write.mode("overwrite").parquet(f"{path}/progress/batch={batch_id}")

@@ -14,7 +14,7 @@ from events import make_events  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("clickloom-tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false",
         "spark.driver.memory": "6g", "spark.log.level": "ERROR",
     })
     yield session
