@@ -16,6 +16,13 @@ COUNTS = {
     "purchase_count": PURCHASE,
 }
 
+# The stages of the funnel chart.
+STAGES = {
+    "Sessions": "session_count",
+    "Added to Cart": "add_to_cart_count",
+    "Purchased": "purchase_count",
+}
+
 
 def event_counts() -> list[Column]:
     return [count_where(named(name)).alias(column) for column, name in COUNTS.items()]
@@ -96,13 +103,9 @@ def funnel_of_panes(panes: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
 
 def latest_funnel(metrics: DataFrame) -> DataFrame:
     """One row, the newest window's numbers, zeros before the first window closes."""
-    newest = metrics.agg(F.max_by(
-        F.struct("session_count", "add_to_cart_count", "purchase_count"), "window_end")
-        .alias("m"))
-    return newest.select(*[
-        F.coalesce(F.col(f"m.{c}"), F.lit(0)).alias(c)
-        for c in ("session_count", "add_to_cart_count", "purchase_count")
-    ])
+    columns = list(STAGES.values())
+    newest = metrics.agg(F.max_by(F.struct(*columns), "window_end").alias("m"))
+    return newest.select(*[F.coalesce(F.col(f"m.{c}"), F.lit(0)).alias(c) for c in columns])
 
 
 def funnel_stages(latest: DataFrame) -> DataFrame:
@@ -110,11 +113,7 @@ def funnel_stages(latest: DataFrame) -> DataFrame:
     stages = F.array(*[
         F.struct(F.lit(i).alias("stage_no"), F.lit(label).alias("stage"),
                  F.col(c).alias("value"))
-        for i, (label, c) in enumerate([
-            ("Sessions", "session_count"),
-            ("Added to Cart", "add_to_cart_count"),
-            ("Purchased", "purchase_count"),
-        ], start=1)
+        for i, (label, c) in enumerate(STAGES.items(), start=1)
     ])
     return latest.select("session_count", F.explode(stages).alias("s")).select(
         "s.*",

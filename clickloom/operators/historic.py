@@ -20,7 +20,10 @@ from clickloom.functions.events import (
 from clickloom.functions.numbers import dollars, percent_text, ratio, settled
 from clickloom.schemas import SALES_EVENTS
 
+# The leaderboard's length and the labels of the key figures.
 LEADERBOARD = 25
+TILES = ("Total eComm Purchases", "Conversion Rate", "Purchase Revenue",
+         "Average Order Value", "Revenue per User")
 
 
 def _purchases(history: DataFrame, start: DateLike | None, end: DateLike | None) -> DataFrame:
@@ -96,15 +99,15 @@ def key_figures(history: DataFrame, start: DateLike | None = None,
 
 def key_figure_tiles(figures: DataFrame) -> DataFrame:
     """The key figures as labelled, formatted tiles; every tile but the rate is money."""
-    tiles = [
-        ("Total eComm Purchases", dollars(F.col("total_purchases").cast("double"), True)),
-        ("Conversion Rate", percent_text(F.col("conversion_rate"))),
-        ("Purchase Revenue", dollars(F.col("total_revenue"), True)),
-        ("Average Order Value", dollars(F.col("average_order_value"), True)),
-        ("Revenue per User", dollars(F.col("revenue_per_user"), True)),
+    texts = [
+        dollars(F.col("total_purchases").cast("double"), True),
+        percent_text(F.col("conversion_rate")),
+        dollars(F.col("total_revenue"), True),
+        dollars(F.col("average_order_value"), True),
+        dollars(F.col("revenue_per_user"), True),
     ]
     rows = F.array(*[F.struct(F.lit(label).alias("label"), text.alias("value"))
-                     for label, text in tiles])
+                     for label, text in zip(TILES, texts, strict=True)])
     return figures.select(F.explode(rows).alias("t")).select("t.*")
 
 

@@ -12,7 +12,9 @@ from clickloom.functions.numbers import settled
 from clickloom.operators.sliding import LIVE, Sliding, key_steps, span_of, window_totals
 from clickloom.schemas import SALES_EVENTS
 
+# The length of the top lists and their headings.
 TOP = 10
+HEADINGS = ("Product ID", "Total Quantity", "Total Sales ($)")
 # Product groups per event type and span that are ranked apart before the final ranking.
 SPREAD = 16
 RANK_BY = ("amount", "revenue")
@@ -213,6 +215,5 @@ def top_table(messages: DataFrame, event_name: str) -> DataFrame:
     items = F.posexplode(F.col("trending")[event_name]["top10"])
     return messages.select("window_start", "window_end", items.alias("pos", "t")).select(
         "window_start", "window_end", (F.col("pos") + 1).alias("rank"),
-        F.col("t.product_id").alias("Product ID"),
-        F.col("t.quantity").alias("Total Quantity"),
-        F.col("t.amount").alias("Total Sales ($)"))
+        *[F.col(f"t.{c}").alias(heading) for c, heading in
+          zip(("product_id", "quantity", "amount"), HEADINGS, strict=True)])
