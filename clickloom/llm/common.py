@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -53,5 +56,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256,
             yield batch.slice(begin)
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, as --py-files would, once per context."""
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if package.is_dir() and not any("clickloom-src" in f for f in context.listFiles):
+        target = Path(tempfile.mkdtemp(prefix="clickloom-")) / "clickloom-src.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(target))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import sharding, warc
-from clickloom.llm.common import documents
+from clickloom.llm import decontaminate, packing, quality, sharding, toxicity, warc
+from clickloom.llm.common import documents, ship
 
 
 def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +30,39 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.field("revisited-page-id").cast("long").alias("refers_to"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score(docs, quality.train(docs, labels)).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(docs, toxicity.train(docs, labels)).withColumn(
+        "predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op2_kd_sharding": op2_kd_sharding,
         "op3_warc": op3_warc,
+        "op4_quality": op4_quality,
+        "op5_toxicity": op5_toxicity,
+        "op8_packing": op8_packing,
+        "op10_decontamination": op10_decontamination,
     }
+
+    def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: query(ship(spark), sf_dir)
+
+    return {name: shipped(query) for name, query in found.items()}
