@@ -1,6 +1,6 @@
 """Quality classifier: naive Bayes support vectors.
 
-Indicators of byte n-grams are scaled by the log-count ratio of the two classes; a linear
+Indicators of byte n-grams, and of word n-grams of one repeated word, are scaled by the log-count ratio of the two classes; a linear
 model with hinge loss is fitted on them by dual coordinate descent. Fitting uses a bounded
 sample of labelled rows; scoring reads every whole text and is a map without a shuffle.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,10 @@ from clickloom.llm.common import fold_remainder, slices, text_of
 # The most labelled rows that are fitted. The driver holds their indicators, some 10 kB each.
 SAMPLE_ROWS = 6000
 TRIGRAM_BITS = 16
-FEATURES = 256 + 65536 + (1 << TRIGRAM_BITS)
+# Word n-grams of one repeated word, by n; real prose has hardly any.
+REPEATS = (2, 3, 5)
+HASHED = 256 + 65536 + (1 << TRIGRAM_BITS)
+FEATURES = HASHED + len(REPEATS)
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -41,13 +45,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
 
 
 class Indicators:
-    """Distinct byte 1-, 2- and 3-grams of a text as feature numbers."""
+    """Distinct byte 1-, 2- and 3-grams and repeated words of a text as feature numbers."""
 
     def __init__(self) -> None:
         self._seen = np.zeros(FEATURES, bool)
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        b = np.frombuffer(text, np.uint8).astype(np.uint32)
+    def __call__(self, text: str) -> np.ndarray:
+        b = np.frombuffer(text.encode(), np.uint8).astype(np.uint32)
         seen = self._seen
         if len(b):
             seen[b] = True
@@ -56,6 +60,13 @@ class Indicators:
         if len(b) > 2:
             mixed = (b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761)
             seen[256 + 65536 + (mixed >> np.uint32(32 - TRIGRAM_BITS))] = True
+        words = text.split()
+        same = np.fromiter(map(eq, words, words[1:]), bool, max(0, len(words) - 1))
+        for i, n in enumerate(REPEATS):
+            if len(same) < n - 1:
+                break
+            runs = np.logical_and.reduce([same[j:len(same) - n + 2 + j] for j in range(n - 1)])
+            seen[HASHED + i] = runs.any()
         found = np.flatnonzero(seen).astype(np.int32)
         seen[found] = False
         return found
@@ -138,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
         for batch in slices(batches, 256, "text"):
-            found = [indicators(x.as_py().encode()).tobytes() for x in batch.column("text")]
+            found = [indicators(x.as_py()).tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.string()), batch.column("label"),
                 pa.array(found, pa.binary())], ["doc_id", "label", "found"])
@@ -158,7 +169,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
         for batch in slices(batches, 256, "text"):
-            scores = [small.score(indicators(x.as_py().encode())) for x in batch.column("text")]
+            scores = [small.score(indicators(x.as_py())) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "score"])

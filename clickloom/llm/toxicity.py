@@ -28,7 +28,8 @@ from clickloom.llm.quality import calibrate, labelled_sample
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 4000
 STEM_LENGTHS = (4, 5, 6)
-MIN_DOCUMENTS, MIN_LOG_ODDS = 4, 2.5
+# What a word or stem takes to enter: toxic documents, log odds, share of toxic documents.
+MIN_DOCUMENTS, MIN_LOG_ODDS, MIN_SHARE = 4, 3.5, 0.9
 
 # Seed words of the grammar: plain vocabulary in the four languages of the corpus.
 INSULTS = "idiot moron loser scum trash clown worthless pathetic disgusting stupid dumm trottel abschaum versager widerlich imbécile crétin abruti minable ordure imbécil basura payaso estúpido patético"
@@ -177,7 +178,8 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
         count, "key string, clean long, toxic long").groupBy("key").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(
         F.col("toxic") >= least).withColumn("weight", weight).where(
-        F.col("weight") >= MIN_LOG_ODDS).orderBy(
+        (F.col("weight") >= MIN_LOG_ODDS)
+        & (F.col("toxic") >= MIN_SHARE * (F.col("toxic") + F.col("clean")))).orderBy(
         (F.col("toxic") * F.col("weight")).desc(), "key").limit(LEXICON_SIZE).collect()
     words = {r["key"]: r["weight"] for r in rows if not r["key"].endswith("-")}
     stems = {r["key"][:-1]: r["weight"] for r in rows if r["key"].endswith("-")}
