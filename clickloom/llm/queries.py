@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, packing, quality, sharding, toxicity, warc
+from clickloom.llm import decontaminate, packing, quality, sharding, topk, toxicity, warc
 from clickloom.llm.common import documents, ship
 
 
@@ -42,6 +42,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -58,6 +62,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": op3_warc,
         "op4_quality": op4_quality,
         "op5_toxicity": op5_toxicity,
+        "op6_exact_top_k": op6_exact_top_k,
         "op8_packing": op8_packing,
         "op10_decontamination": op10_decontamination,
     }
