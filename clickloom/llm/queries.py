@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, packing, quality, sharding, topk, toxicity, warc
+from clickloom.llm import decontaminate, packing, quality, sharding, suffix, topk, toxicity, warc
 from clickloom.llm.common import documents, ship
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, sf_dir), length=200, text=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.kd_shards(documents(spark, sf_dir), shards=8)
     return sharded.select(
@@ -58,6 +63,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_kd_sharding": op2_kd_sharding,
         "op3_warc": op3_warc,
         "op4_quality": op4_quality,
