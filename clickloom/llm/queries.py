@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, packing, quality, sharding, suffix, topk, toxicity, warc
+from clickloom.llm import decontaminate, near, packing, quality, sharding, suffix, topk, toxicity, warc
 from clickloom.llm.common import documents, ship
 
 
@@ -51,6 +51,10 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20)
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -69,6 +73,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": op4_quality,
         "op5_toxicity": op5_toxicity,
         "op6_exact_top_k": op6_exact_top_k,
+        "op7_order_minhash": op7_order_minhash,
         "op8_packing": op8_packing,
         "op10_decontamination": op10_decontamination,
     }
