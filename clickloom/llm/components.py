@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select("b", "a"))
         large = _relinked(both, F.col("b") > F.col("a"))
-        now = stored(_oriented(_relinked(large, F.lit(True))), "edges")
+        now = stored(_relinked(large, F.lit(True)), "edges")
         fresh = _state(now)
         if fresh == state:
             break

@@ -5,17 +5,19 @@ functions and keeps them in text order, so it agrees for texts of high ordered s
 Texts that share a sketch are candidates; a banded alignment of their shingle sequences
 decides. Exact copies are folded first.
 
-In a bucket, members are compared with a pivot, not with each other. The first pivot is
-the member that shares most with others; members that stay outside its class serve as
-pivots in later rounds, twice as many each round, until no untested pair of a bucket lies
-in two classes. So no link that a bucket offers is lost, and a large group of copies of one
-text needs one comparison per member.
+In a bucket, members are compared with pivots, not with each other. The first pivot is the
+member that shares most with others; some of those that stay outside its class are pivots
+of a second round. A text has 24 buckets with pivots of their own, and classes close over
+chains of links, so two texts are parted only if no chain over pivots joins them; the
+README gives the measured recall. A large group of copies costs a few comparisons per
+member, not all its pairs.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ SIMILARITY = 0.8
 # Two texts at the threshold agree in one sketch with probability 0.8 ** 5, and miss all 24
 # with less than 1 in 10,000.
 SKETCHES, LEAST = 24, 5
+# Pivots that a bucket of several classes gets in each round of comparisons.
+PIVOTS = (1, 4)
 
 
 class Shingler:
@@ -69,6 +73,13 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+@cache
+def _functions(sketches: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(23)
+    return (random.integers(1, 1 << 63, sketches, dtype=np.uint64) | np.uint64(1),
+            random.integers(1, 1 << 63, sketches, dtype=np.uint64))
+
+
 def order_minhash(shingles: np.ndarray, sketches: int = SKETCHES, least: int = LEAST) -> list[int]:
     """One key per sketch: the least labelled shingles, in text order."""
     n = len(shingles)
@@ -80,9 +91,7 @@ def order_minhash(shingles: np.ndarray, sketches: int = SKETCHES, least: int = L
     nth = np.arange(n) - np.maximum.accumulate(np.where(begin, np.arange(n), 0))
     labelled = np.empty(n, np.uint64)
     labelled[order] = ordered + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    random = np.random.default_rng(23)
-    odd = random.integers(1, 1 << 63, sketches, dtype=np.uint64) | np.uint64(1)
-    add = random.integers(1, 1 << 63, sketches, dtype=np.uint64)
+    odd, add = _functions(sketches)
     drawn = _mixed(labelled[None, :] * odd[:, None] + add[:, None])
     if n > least:
         at = np.sort(np.argpartition(drawn, least - 1, axis=1)[:, :least], axis=1)
@@ -184,48 +193,49 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """node, label of the texts that link to another one."""
     spark = members.sparkSession
     labels = spark.createDataFrame([], "node long, label long")
-    edges = tested = served = None
-    turn = 0
-    while True:
+    tested, served = [], []  # a stored table of each round
+    for turn, count in enumerate(PIVOTS):
         state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        state = stored(state.select("bucket", "node", "n", "score", "label"), "round")
         top = state.groupBy("bucket").agg(
             F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top"),
             F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        members = stored(state.join(top.select("bucket", F.col("top.label").alias("main"),
+                                               F.col("top.node").alias("top")), "bucket").select(
+            "bucket", "node", "n", "score", "label", "main", "top"), "open-buckets")
         if turn == 0:
-            pivots = top.select("bucket", "top.node", "top.label", "top.n")
+            pivots = members.where("node = top")
         else:
-            outside = state.join(top.select("bucket", F.col("top.label").alias("main")), "bucket").where(
-                "label <> main").join(served, ["bucket", "node"], "left_anti")
+            outside = members.where("label <> main")
+            for done in served:
+                outside = outside.join(done, ["bucket", "node"], "left_anti")
             pivots = outside.groupBy("bucket", F.pmod(
-                F.xxhash64("node", F.lit(turn)), F.lit(1 << min(turn, 20))).alias("draw")).agg(
+                F.xxhash64("node", F.lit(turn)), F.lit(count)).alias("draw")).agg(
                 F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top")).select(
                 "bucket", "top.node", "top.label", "top.n")
-        pivots = stored(pivots, "pivots")
+        pivots = stored(pivots.select("bucket", "node", "label", "n"), "pivots")
         if pivots.isEmpty():
             break
-        now = pivots.select("bucket", "node")
-        served = now if served is None else stored(served.union(now), "served")
+        served.append(pivots.select("bucket", "node"))
         p = pivots.select("bucket", F.col("node").alias("pivot"), F.col("label").alias("p_label"),
                           F.col("n").alias("p_n"))
         # a pair whose counts of shingles differ too much cannot reach the similarity
-        pairs = state.join(p, "bucket").where(
+        pairs = members.join(p, "bucket").where(
             (F.col("label") != F.col("p_label"))
             & (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n"))).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        for done in tested:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else stored(tested.union(pairs), "tested")
+        tested.append(pairs)
         good = stored(_verified(pairs, texts, similarity), "links")
         if not good.isEmpty():
             # links between the labels so far are enough to go on
             a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
             mapped = good.join(a, "a", "left").join(b, "b", "left").select(
                 F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-            edges = mapped.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            labels = stored(components(edges), "labels")
-        turn += 1
+            old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = components(mapped.union(old))
+        members = members.select("bucket", "node", "n", "score")
     return labels
 
 
