@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, near, packing, quality, sharding, suffix, topk, toxicity, warc
+from clickloom.llm import decontaminate, lm, near, packing, quality, sharding, suffix, topk, toxicity, warc
 from clickloom.llm.common import documents, ship
 
 
@@ -60,6 +60,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
@@ -75,6 +79,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_exact_top_k": op6_exact_top_k,
         "op7_order_minhash": op7_order_minhash,
         "op8_packing": op8_packing,
+        "op9_language_model": op9_language_model,
         "op10_decontamination": op10_decontamination,
     }
 

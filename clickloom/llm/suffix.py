@@ -392,3 +392,41 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED
     return repeats(keyed_texts(docs), length, crowded).select("doc_id", "text", "found").mapInArrow(
         cut, f"doc_id {doc_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
              "spans array<long>, kept binary")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
+    """``docs`` with repeated strings cut out of the texts, and all other columns.
+
+    What a cut leaves of a broken character goes too, and ``n_chars``, if there, is counted
+    anew. Rows whose text is cut to nothing are dropped; a text that was empty or null stays.
+    """
+    names = docs.columns
+    text = text_of()
+    rows = docs.select(
+        F.xxhash64("doc_id", text).alias("k1"), F.crc32(text.cast("binary")).alias("k2"), "doc_id",
+        text.cast("binary").alias("text"), F.struct(*[F.col(c) for c in names]).alias("row"))
+    schema = docs.schema
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 512, "text"):
+            texts, kept, at_row = batch.column("text"), [], batch.column("row")
+            for data, found in zip(texts, batch.column("found"), strict=True):
+                data = data.as_buffer().to_pybytes()
+                parts, at = [], 0
+                for a, b in removed_runs(found.as_py(), length):
+                    parts.append(data[at:a])
+                    at = b
+                kept.append("".join(p.decode(errors="ignore") for p in [*parts, data[at:]]))
+            stays = [bool(k.strip()) or not t.as_buffer().size for k, t in zip(kept, texts, strict=True)]
+            empty = at_row.field(len(names)).to_pylist()
+            columns = []
+            for i, name in enumerate(names):
+                column = at_row.field(i)
+                if name == "text":
+                    column = pa.array([None if n else k for k, n in zip(kept, empty, strict=True)], pa.string())
+                elif name == "n_chars":
+                    column = pa.array([len(k) for k in kept]).cast(column.type)
+                columns.append(column)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(stays, pa.bool_()))
+
+    return repeats(rows, length, crowded).select("row", "text", "found").mapInArrow(cut, schema)
