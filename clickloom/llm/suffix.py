@@ -404,7 +404,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDE
     text = text_of()
     rows = docs.select(
         F.xxhash64("doc_id", text).alias("k1"), F.crc32(text.cast("binary")).alias("k2"), "doc_id",
-        text.cast("binary").alias("text"), F.struct(*[F.col(c) for c in names]).alias("row"))
+        text.cast("binary").alias("text"),
+        F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in names],
+                 F.col("text").isNull().alias("_null")).alias("row"))
     schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
