@@ -3,9 +3,10 @@
 An item-sized window of words and a benchmark item are embedded by CGK random walks, which
 turn edit distance into Hamming distance; bit sampling over the embeddings, repeated until
 the target recall is reached, proposes pairs of window and item, and an exact edit distance
-decides. Windows are placed where a document shares an unbroken run of words with an item;
-within the threshold there always is one of at least ``floor(n / (edits + 1))`` words, so
-this placement loses nothing. All work is a map over the documents.
+decides. Windows are placed where a document shares unbroken runs of words with an item;
+within the threshold there always is one of at least ``floor(n / (edits + 1))`` words, and
+an edit breaks at most as many runs as a run has words, so this placement loses nothing.
+All work is a map over the documents.
 """
 
 from __future__ import annotations
@@ -34,12 +35,21 @@ MAX_REPEATS = 192
 PAD = np.uint32(0)
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+# ASCII and the bytes of Latin letters from U+00C0 on, whose words can be cut as bytes.
+_PLAIN = bytes([*range(128), 0xC3, *range(0x80, 0xC0)])
+_SPACED = bytes(b if b > 127 or chr(b).isalnum() or b == 0x5F else 32 for b in range(256))
 
 
-def symbols(words: list[str]) -> np.ndarray:
-    return np.array([zlib.crc32(w.encode()) | 1 for w in words], np.uint32)
+def words_of(text: str) -> list[bytes]:
+    """Runs of word characters in lower case, as UTF-8."""
+    data = text.lower().encode()
+    if not data.translate(None, _PLAIN) and b"\xc3\x97" not in data and b"\xc3\xb7" not in data:
+        return data.translate(_SPACED).split()
+    return [w.encode() for w in WORD.findall(text.lower())]
+
+
+def symbols(words: list[bytes]) -> np.ndarray:
+    return np.array([zlib.crc32(w) | 1 for w in words], np.uint32)
 
 
 def allowed_edits(n: int, similarity: float = SIMILARITY) -> int:
@@ -60,13 +70,13 @@ def cgk(rows: np.ndarray, seeds: np.ndarray, steps: int) -> np.ndarray:
     for step in range(steps):
         now = padded[line, at]
         out[:, :, step] = now
-        mixed = (now ^ seeds[None, :]) * np.uint32(2654435761) + np.uint32(step) * np.uint32(2246822519)
+        mixed = (now ^ seeds[None, :]) * np.uint32(2654435761) + np.uint32(step * 2246822519 % (1 << 32))
         mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(3266489917)
         at = np.minimum(at + ((mixed >> np.uint32(16)) & np.uint32(1)), n)
     return out
 
 
-def edit_distance(item: list[str], text: list[str], most: int) -> tuple[int, int, int]:
+def edit_distance(item: list[bytes], text: list[bytes], most: int) -> tuple[int, int, int]:
     """Least edits that turn the item into a run of words of ``text``, and that run.
 
     Gives (most + 1, 0, 0) if it takes more than ``most``.
@@ -99,12 +109,23 @@ class Index:
         self.similarity, self.recall = similarity, recall
         self.grams: dict[int, dict[tuple, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.lengths: dict[int, list[int]] = defaultdict(list)
+        self.needed = []
         for k, (_, w) in enumerate(self.items):
             n = min(GRAM, len(w) // (allowed_edits(len(w), similarity) + 1))
             for at in range(len(w) - n + 1):
                 self.grams[n][tuple(w[at:at + n])].append((k, at))
             self.lengths[len(w)].append(k)
+            # an edit breaks at most n of the runs, so that many stay
+            self.needed.append(max(1, len(w) - n + 1 - n * allowed_edits(len(w), similarity)))
         self.grams = {n: dict(g) for n, g in self.grams.items()}
+        # A run can only be where its longest word is: its length and that word's place in it.
+        anchors: dict[bytes, set[tuple[int, int]]] = defaultdict(set)
+        for n, grams in self.grams.items():
+            for gram in grams:
+                longest = max(range(n), key=lambda i: (len(gram[i]), gram[i]))
+                anchors[gram[longest]].add((n, longest))
+        self.anchors = {w: tuple(places) for w, places in anchors.items()}
+        self.anchor_words = frozenset(anchors)
         random = np.random.default_rng(seed)
         self.tables = {n: self._table(n, ks, random) for n, ks in self.lengths.items()}
 
@@ -144,14 +165,20 @@ class Index:
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, edits, first word, words) of each item found in the text, best match each."""
         words = words_of(text)
+        here = self.anchor_words.intersection(words)
+        if not here:
+            return []
         starts: dict[int, set[int]] = defaultdict(set)
-        for n, grams in self.grams.items():
-            runs = zip(*[words[i:] for i in range(n)], strict=False) if n > 1 else ((w,) for w in words)
-            for pos, gram in enumerate(runs):
-                hits = grams.get(gram)
+        offsets: dict[int, set[int]] = defaultdict(set)
+        for at in [i for i, w in enumerate(words) if w in here]:
+            for n, place in self.anchors[words[at]]:
+                pos = at - place
+                hits = self.grams[n].get(tuple(words[pos:pos + n])) if pos >= 0 else None
                 if hits:
-                    for k, at in hits:
-                        starts[k].add(pos - at)
+                    for k, offset in hits:
+                        starts[k].add(pos - offset)
+                        offsets[k].add(offset)
+        starts = {k: v for k, v in starts.items() if len(offsets[k]) >= self.needed[k]}
         if not starts:
             return []
         by_length: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
@@ -174,14 +201,14 @@ class Index:
                         self._verify(words, start, k, best)
         return [(self.items[k][0], *v) for k, v in sorted(best.items())]
 
-    def _verify(self, words: list[str], start: int, k: int, best: dict) -> None:
+    def _verify(self, words: list[bytes], start: int, k: int, best: dict) -> None:
         if k in best and best[k][0] == 0:
             return
         item = self.items[k][1]
         most = allowed_edits(len(item), self.similarity)
         low = max(0, start - most)
-        if words[max(0, start):start + len(item)] == item:
-            best[k] = (0, max(0, start), len(item))
+        if start >= 0 and words[start:start + len(item)] == item:
+            best[k] = (0, start, len(item))
             return
         cost, a, b = edit_distance(item, words[low:max(0, start + len(item) + most)], most)
         if cost <= most and (k not in best or (cost, low + a) < best[k][:2]):
@@ -237,14 +264,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     schema = f"doc_id {doc_type}, item_id long, edits int, first_word int, n_words int"
     found = None
     for block in blocks(benchmark):
-        part = rows.mapInArrow(_search(block, similarity, recall), schema)
+        index = docs.sparkSession.sparkContext.broadcast(Index(block, similarity, recall))
+        part = rows.mapInArrow(_search(index), schema)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _search(block: list[tuple[int, str]], similarity: float, recall: float):
+def _search(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(block, similarity, recall)
+        index = shared.value
         for batch in slices(batches, 1000, "text"):
             rows = [(doc.as_py(), *m) for doc, text in zip(
                 batch.column("doc_id"), batch.column("text"), strict=True)
@@ -263,8 +291,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     """The rows of ``docs`` in which no item is found, with all their columns."""
     kept = docs
     for block in blocks(benchmark):
-        def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index = Index(block, similarity, recall)
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block, similarity, recall))
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
             for batch in slices(batches, 1000, "text"):
                 clean = [not index.matches(x.as_py() or "") for x in batch.column("text")]
                 yield batch.filter(pa.array(clean, pa.bool_()))
