@@ -28,6 +28,7 @@ WORD = re.compile(r"\w+")
 SIMILARITY = 0.8
 RECALL = 0.99
 GRAM = 3
+SHORT_WORD = 5  # bytes
 # Items that one pass over the documents holds; more items take more passes.
 BLOCK_ITEMS = 2000
 BLOCK_BYTES = 8 << 20
@@ -112,11 +113,17 @@ class Index:
         self.needed = []
         for k, (_, w) in enumerate(self.items):
             n = min(GRAM, len(w) // (allowed_edits(len(w), similarity) + 1))
-            for at in range(len(w) - n + 1):
+            # An edit breaks at most n of the runs, so that many stay. Runs of short, hence
+            # common, words are not looked for as long as one other is sure to stay.
+            runs = sorted(range(len(w) - n + 1), key=lambda at: -max(map(len, w[at:at + n])))
+            needed = max(1, len(runs) - n * allowed_edits(len(w), similarity))
+            while needed > 1 and max(map(len, w[runs[-1]:runs[-1] + n])) <= SHORT_WORD:
+                runs.pop()
+                needed -= 1
+            for at in runs:
                 self.grams[n][tuple(w[at:at + n])].append((k, at))
             self.lengths[len(w)].append(k)
-            # an edit breaks at most n of the runs, so that many stay
-            self.needed.append(max(1, len(w) - n + 1 - n * allowed_edits(len(w), similarity)))
+            self.needed.append(needed)
         self.grams = {n: dict(g) for n, g in self.grams.items()}
         # A run can only be where its longest word is: its length and that word's place in it.
         anchors: dict[bytes, set[tuple[int, int]]] = defaultdict(set)
