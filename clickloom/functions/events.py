@@ -69,8 +69,15 @@ def within_dates(df: DataFrame, start: DateLike | None, end: DateLike | None) ->
             (F.col("event_time") >= lo.cast(kind))
             & (F.col("event_time") < F.date_add(hi, 1).cast(kind))
         )
-    return df.where(F.to_date("event_time").between(lo, hi))
+    return df.where(event_date(df).between(lo, hi))
 
 
 def event_date(df: DataFrame) -> Column:
-    return F.col("event_date") if "event_date" in df.columns else F.to_date("event_time")
+    return F.col("event_date") if "event_date" in df.columns else day_of(df)
+
+
+def day_of(df: DataFrame) -> Column:
+    """The date of ``event_time``; NULL for text that is no time."""
+    if isinstance(df.schema["event_time"].dataType, T.StringType):
+        return F.to_date(F.try_to_timestamp("event_time"))
+    return F.to_date("event_time")

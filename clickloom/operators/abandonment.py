@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.events import named
 from clickloom.functions.temporal import time_text
-from clickloom.operators.sliding import LIVE, MICROS, Sliding, window_totals
+from clickloom.operators.sliding import LIVE, MICROS, Sliding, whole_parts, window_totals
 from clickloom.schemas import ADD_TO_CART, SALES_EVENTS
 
 # Fixed value: a session of cart events ends after five minutes of silence.
@@ -39,7 +39,7 @@ def cart_sessions(events: DataFrame, gap_seconds: int = GAP_SECONDS,
     hot pair is then at most one row per bucket, however many events it has.
     """
     time = F.col(time_col)
-    bucket = F.floor(F.unix_micros(time) / F.lit(gap_seconds * MICROS))
+    bucket = whole_parts(F.unix_micros(time), gap_seconds * MICROS)
     first = F.struct("event_time", "event_id", "price_usd", "quantity")
     buckets = (
         events.where(named(*SALES_EVENTS) & time.isNotNull())

@@ -15,14 +15,18 @@ _MATCH, _SALT = "_match", "_salt"
 def one_per_key(dimension: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:
     """One row per key, so that a lookup never multiplies events.
 
-    ``newest_by`` names a column whose largest value decides; without it any row of
-    the key may stay. Catalyst sees that the key is unique and drops the whole join
-    from queries that use no column of the dimension.
+    Of several rows the one with the largest ``newest_by`` stays; ties, and all rows if no
+    column is named, fall to the largest values of the columns in their order, NULLs least.
+    So the same row stays whatever the order and partitioning of the input. Catalyst sees
+    that the key is unique and drops the whole join from queries that use no column of the
+    dimension.
     """
-    if newest_by is None:
-        return dimension.dropDuplicates([key])
     rest = [c for c in dimension.columns if c != key]
-    return dimension.groupBy(key).agg(*[F.max_by(c, newest_by).alias(c) for c in rest])
+    if not rest:
+        return dimension.dropDuplicates([key])
+    first = [F.col(newest_by).alias("_newest")] if newest_by else []
+    winner = F.max(F.struct(*first, *rest)).alias("_winner")
+    return dimension.groupBy(key).agg(winner).select(key, *[f"_winner.{c}" for c in rest])
 
 
 def lookup(events: DataFrame, dimension: DataFrame, key: str, salts: int = 1,
@@ -87,13 +91,17 @@ def conform(df: DataFrame, schema: T.StructType = ENRICHED) -> DataFrame:
     return df.select(*[column(field) for field in schema.fields])
 
 
-def enrich(events: DataFrame, customers: DataFrame, products: DataFrame,
-           salts: int = 1) -> DataFrame:
+def enrich(events: DataFrame, customers: DataFrame, products: DataFrame, salts: int = 1,
+           customers_newest_by: str | None = None,
+           products_newest_by: str | None = None) -> DataFrame:
     """Events with customer, then product attributes; batch or stream."""
-    with_customer = lookup(events, temporals_as_text(customers), "customer_id", salts)
-    return lookup(with_customer, products, "product_id", salts)
+    with_customer = lookup(
+        events, temporals_as_text(customers), "customer_id", salts, customers_newest_by)
+    return lookup(with_customer, products, "product_id", salts, products_newest_by)
 
 
 def enriched_history(events: DataFrame, customers: DataFrame, products: DataFrame,
-                     salts: int = 1) -> DataFrame:
-    return conform(enrich(events, customers, products, salts))
+                     salts: int = 1, customers_newest_by: str | None = None,
+                     products_newest_by: str | None = None) -> DataFrame:
+    return conform(enrich(
+        events, customers, products, salts, customers_newest_by, products_newest_by))

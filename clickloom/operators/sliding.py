@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 
 
+def whole_parts(value: Column, length: int) -> Column:
+    """``value`` over ``length`` rounded down, in whole numbers throughout."""
+    size = F.lit(length).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, size), size)
+
+
 @dataclass(frozen=True)
 class Sliding:
     """Window size and slide in whole seconds; the size is a multiple of the slide."""
@@ -37,7 +43,7 @@ class Sliding:
         return 24 * self.panes
 
     def pane_of(self, time: Column) -> Column:
-        return F.floor(F.unix_micros(time) / F.lit(self.slide * MICROS)).cast("bigint")
+        return whole_parts(F.unix_micros(time), self.slide * MICROS)
 
     def bounds(self, window: Column) -> list[Column]:
         step = F.lit(self.slide * MICROS)
@@ -52,7 +58,7 @@ LIVE = Sliding(size=3600, slide=10)
 
 
 def span_of(index: Column, length: int) -> Column:
-    return F.floor(index / F.lit(length)).cast("bigint")
+    return whole_parts(index.cast("bigint"), length)
 
 
 def with_spans(panes: DataFrame, sliding: Sliding) -> DataFrame:
@@ -96,7 +102,8 @@ def key_steps(panes: DataFrame, sliding: Sliding, keys: tuple[str, ...],
     spills = pane + n > next_start
 
     def change(at_span: Column, at: Column, counts: bool) -> Column:
-        values = [F.col(c) if counts else F.lit(0).cast(panes.schema[c].dataType)
+        # A pane that leaves adds NULL, so a window of NULL panes alone stays NULL.
+        values = [F.col(c) if counts else F.lit(None).cast(panes.schema[c].dataType)
                   for c in sums]
         rows = F.lit(1 if counts else 0)
         return F.struct(at_span.alias("span"), at.alias("w"), rows.alias("live"),

@@ -125,8 +125,9 @@ def top_of_panes(panes: DataFrame, sliding: Sliding = LIVE, k: int = TOP,
     pieces, size = _blocks(steps, sliding, sliding.panes // 4)
     group = ["span", *[c for c in steps.columns if c.startswith("spread_")], "block"]
     product = Window.partitionBy(*group, *_KEYS)
-    # The floor stands on one piece of each product that is present in the whole block.
-    present = F.sum(F.col("hi") - F.col("lo")).over(product) == size
+    # The floor stands on one piece of each product whose figure is there in the whole block.
+    figured = F.when(F.col(rank_by).isNotNull(), F.col("hi") - F.col("lo"))
+    present = F.sum(figured).over(product) == size
     floor = F.when(present & (F.col("lo") == F.col("block") * size),
                    F.min(rank_by).over(product))
     near = _near_winners(pieces.withColumn("floor", floor), group, k, rank_by)

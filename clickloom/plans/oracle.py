@@ -80,7 +80,8 @@ _BOUGHT = f"event_name = 'BOOKING' AND {_IN_RANGE}"
 _SALES = "event_name IN ('ADD_TO_CART', 'BOOKING')"
 _AMOUNT = "price_usd * quantity"
 _RANGED = f"WHERE {_IN_RANGE}"
-_LAST_30 = "WHERE CAST(event_time AS DATE) BETWEEN current_date - 30 AND current_date"
+_LAST_30 = f"""WHERE CAST(event_time AS DATE) + CAST(current_date - DATE '{END}' AS INTEGER)
+  BETWEEN current_date - 30 AND current_date"""
 
 _HISTORY_ROW = """SELECT * REPLACE (strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time)"""
 
@@ -148,13 +149,6 @@ def _window_start(s: Sliding) -> str:
 _CLOSED = "window_end <= (SELECT max(ts) FROM events)"
 
 
-def _up_to_last_pane(s: Sliding, where: str = "true") -> str:
-    """Windows that end no later than the last closed pane that holds an event."""
-    end = f"(epoch_us(event_time) // {s.slide * 1_000_000} + 1) * {s.slide * 1_000_000}"
-    return f"""window_end <= (SELECT make_timestamp(max({end})) FROM clicks
-  WHERE {where} AND {end} <= (SELECT max(epoch_us(ts)) FROM events))"""
-
-
 def _funnel_cte(s: Sliding) -> str:
     def count(name: str) -> str:
         return f"count(*) FILTER (event_name = '{name}')"
@@ -315,6 +309,10 @@ FROM clicks WHERE event_name NOT IN ('ERROR', 'SIGNUP')""",
 FROM messages WHERE event_name IN ('ERROR', 'SIGNUP')""",
         "enriched_events": _HISTORY + _HISTORY_ROW + " FROM enriched",
         "enriched_unmatched": gaps + _HISTORY_ROW + " FROM enriched",
+        "enriched_duplicates": _with(_CLICKS, _CUSTOMERS, _PRODUCTS, """other_customers AS (
+  SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN 'z' || coalesce(gender, '')
+                         ELSE gender END AS gender) FROM customers)""",
+            _enriched("other_customers")) + _HISTORY_ROW + " FROM enriched",
         "lookup_overwrites": _with(_CLICKS, _CUSTOMERS) + """SELECT e.event_id, e.customer_id,
   CASE WHEN c.customer_id IS NULL THEN e.traffic_source
        WHEN c.customer_id % 2 = 0 THEN 'dim' END AS traffic_source, c.gender
@@ -381,14 +379,20 @@ FROM totals GROUP BY window_start, window_end"""),
         "abandonment_totals_10s": _abandonment(300, LIVE),
         "abandonment_trend": _abandonment(
             LONG_GAP, COARSE, "SELECT window_end, abandoned_count, total_lost_sales FROM lost"),
+        "top_products_with_gaps": _with(_CLICKS, """gapped AS (
+  SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 5 <> 0 THEN quantity END AS quantity)
+  FROM clicks)""", _products_cte(COARSE).replace("FROM clicks", "FROM gapped")) + _TOP,
+        "stream_funnel_from_messages": _funnel(COARSE, f"SELECT * FROM metrics WHERE {_CLOSED}"),
+        "stream_abandoned_carts_5min": _carts(300, """SELECT * EXCLUDE (closed_at) FROM carts
+WHERE closed_at < (SELECT max(ts) FROM events)"""),
         "stream_funnel": _funnel(COARSE, f"SELECT * FROM metrics WHERE {_CLOSED}"),
         "stream_top_products": _trending(COARSE, f"{_TOP} AND {_CLOSED}"),
         "stream_funnel_10s": _funnel(
-            LIVE, f"SELECT * FROM metrics WHERE {_up_to_last_pane(LIVE)}"),
+            LIVE, f"SELECT * FROM metrics WHERE {_CLOSED}"),
         "stream_top_products_from_panes": _trending(
-            COARSE, f"{_TOP} AND {_up_to_last_pane(COARSE, _SALES)}"),
+            COARSE, f"{_TOP} AND {_CLOSED}"),
         "stream_totals_from_panes": _trending(
-            COARSE, f"SELECT * FROM totals WHERE {_up_to_last_pane(COARSE, _SALES)}"),
+            COARSE, f"SELECT * FROM totals WHERE {_CLOSED}"),
         "stream_abandoned_carts": _carts(LONG_GAP, """SELECT * EXCLUDE (closed_at) FROM carts
 WHERE closed_at < (SELECT max(ts) FROM events)"""),
         "stream_abandonment_totals": _abandonment(

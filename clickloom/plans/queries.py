@@ -148,6 +148,19 @@ def enriched_unmatched(spark, sf_dir):
         _events(spark, sf_dir), customers.unionAll(customers), products.unionAll(products))
 
 
+@_register
+def enriched_duplicates(spark, sf_dir):
+    """Keys with differing rows: the same one stays whatever the order of the rows."""
+    customers = _customers(spark, sf_dir)
+    others = customers.where("customer_id % 3 = 0").withColumn(
+        "gender", F.concat(F.lit("z"), F.coalesce("gender", F.lit(""))))
+    products = _products(spark, sf_dir)
+    older = products.withColumn("season", F.lit("zz")).withColumn("version", F.lit(1))
+    return enrich.enriched_history(
+        _events(spark, sf_dir), others.unionByName(customers),
+        older.unionByName(products.withColumn("version", F.lit(2))), products_newest_by="version")
+
+
 @_register
 def lookup_overwrites(spark, sf_dir):
     """A matched dimension replaces same-named event columns, with its NULLs too."""
@@ -185,7 +198,10 @@ _report("revenue_per_user", lambda h: historic.revenue_per_user(h, START, END))
 _report("key_figures", lambda h: historic.key_figures(h, START, END))
 _report("key_figure_tiles",
         lambda h: historic.key_figure_tiles(historic.key_figures(h, START, END)))
-_report("key_figures_default_range", lambda h: historic.key_figures(h))
+# Moved by whole days, so that the last 30 days hold some of the events and miss others.
+_report("key_figures_default_range", lambda h: historic.key_figures(h.withColumn(
+    "event_time", F.col("event_time") + F.make_dt_interval(
+        F.datediff(F.current_date(), F.lit(END).cast("date"))))))
 _report("sales_by_device_and_source", historic.sales_by_device_and_source)
 _report("sales_by_gender", historic.sales_by_gender)
 _report("daily_event_counts", lambda h: historic.daily_event_counts(h, START, END))
@@ -220,6 +236,8 @@ _live("top_products_10min", lambda e: trending.top_products(e, COARSE))
 _live("top_products_by_revenue",
       lambda e: trending.top_products(e, COARSE, rank_by="revenue"))
 _live("top_products_10s", lambda e: trending.top_products(e, LIVE))
+_live("top_products_with_gaps", lambda e: trending.top_products(e.withColumn(
+    "quantity", F.when(F.col("event_id").cast("bigint") % 5 != 0, F.col("quantity"))), COARSE))
 _live("trending_totals_10min", lambda e: trending.trending_totals(e, COARSE))
 _live("trending_totals_10s", lambda e: trending.trending_totals(e, LIVE))
 _live("grand_totals_10min", lambda e: trending.grand_totals(e, COARSE))
@@ -268,6 +286,25 @@ def stream_funnel_10s(spark, sf_dir):
     return spark.read.parquet(f"{path}/funnel").drop("batch")
 
 
+@_register
+def stream_funnel_from_messages(spark, sf_dir):
+    """JSON messages in several files, a micro-batch each, decoded and kept in panes."""
+    feed, path = work_path(spark, "feed"), work_path(spark, "message-panes")
+    events = _events(spark, sf_dir)
+    edges = [None, "2024-01-08", "2024-01-15", "2024-01-22", None]
+    for low, high in zip(edges, edges[1:], strict=False):
+        part = events
+        if low:
+            part = part.where(F.col("event_time") >= F.lit(low).cast("timestamp"))
+        if high:
+            part = part.where(F.col("event_time") < F.lit(high).cast("timestamp"))
+        sinks.publish_folder(part.coalesce(1), feed)
+    received = messages.parse_messages(readers.message_folder(spark, feed, files_per_batch=1))
+    sinks.drain(panes.funnel_writer(
+        messages.good_events(received), path, f"{path}-checkpoint", COARSE))
+    return spark.read.parquet(f"{path}/funnel").drop("batch")
+
+
 def _trending_from_panes(spark, sf_dir, table):
     path = work_path(spark, "trending-panes")
     sinks.drain(panes.trending_writer(
@@ -291,6 +328,13 @@ def stream_abandoned_carts(spark, sf_dir):
     return _drained(spark, "carts", carts)
 
 
+@_register
+def stream_abandoned_carts_5min(spark, sf_dir):
+    """The gap of the live pipeline."""
+    return _drained(spark, "carts", jobs.abandoned_stream(
+        _event_stream(spark, sf_dir)).drop("session"))
+
+
 @_register
 def stream_abandonment_totals(spark, sf_dir):
     return _drained(spark, "abandonment", jobs.abandonment_stream(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from clickloom.functions.events import day_of
 from clickloom.sources.messages import encode
 
 
@@ -35,7 +36,7 @@ def publish_stream(rows: DataFrame, checkpoint: str, path: str | None = None,
 
 
 def with_event_date(enriched: DataFrame) -> DataFrame:
-    return enriched.withColumn("event_date", F.to_date("event_time"))
+    return enriched.withColumn("event_date", day_of(enriched))
 
 
 def append_history(enriched: DataFrame, path: str) -> None:

@@ -1,55 +1,44 @@
 """Live windows from stored panes, for streams with many sessions or products.
 
 The plain jobs keep every open window of every key in the state store, 360 per key with
-the live windows. Here the state holds the open panes alone. Closed panes go to a table,
-and each micro-batch derives the windows that closed with them by the batch operators,
-from the panes of the last window length.
+the live windows. Here no state store is needed: each micro-batch folds its events into
+panes, stores those as additions, and derives the windows that it closed by the batch
+operators, from the panes of the last window length.
 
-A window comes out with the first closed pane at or behind its end, so in silent times it
-waits for the next event. Windows and their values are those of the plain jobs.
+A window closes with the micro-batch whose events move the watermark (the newest event
+time, of any kind of event, less ``delay``) to its end or past it. A late event counts in
+every window that is still open and in no other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from clickloom.functions.events import above_watermark, line_amount, named
-from clickloom.operators.funnel import event_counts, funnel_of_panes
-from clickloom.operators.sliding import LIVE, Sliding, span_of
-from clickloom.operators.trending import TOP, top_of_panes, totals_of_panes
-from clickloom.schemas import SALES_EVENTS
+from clickloom.operators.funnel import COUNTS, event_counts, funnel_of_panes
+from clickloom.operators.sliding import LIVE, MICROS, Sliding, span_of
+from clickloom.operators.trending import TOP, product_panes, top_of_panes, totals_of_panes
 
+Fold = Callable[[DataFrame], DataFrame]
 Derive = Callable[[DataFrame], DataFrame]
 
+_PROGRESS = "latest BIGINT, closed BIGINT"
 
-def _closed_panes(events: DataFrame, sliding: Sliding, keys: list[str], sums: list[Column],
-                  time_col: str) -> DataFrame:
-    tumbling = F.window(time_col, f"{sliding.slide} seconds").alias("at")
-    panes = events.groupBy(tumbling, *keys).agg(*sums)
-    return panes.withColumn("pane", sliding.pane_of(F.col("at.start"))).drop("at")
 
+def session_panes(events: DataFrame, sliding: Sliding = LIVE,
+                  time_col: str = "event_time") -> DataFrame:
+    """Event counts per session and pane."""
+    pane = sliding.pane_of(F.col(time_col)).alias("pane")
+    return events.groupBy("session_id", pane).agg(*event_counts())
 
-def session_pane_stream(events: DataFrame, sliding: Sliding = LIVE, delay: int = 0,
-                        time_col: str = "event_time") -> DataFrame:
-    marked = events.withWatermark(time_col, f"{delay} seconds")
-    return _closed_panes(marked, sliding, ["session_id"], event_counts(), time_col)
 
-
-def product_pane_stream(events: DataFrame, sliding: Sliding = LIVE, delay: int = 0,
-                        time_col: str = "event_time") -> DataFrame:
-    marked = events.withWatermark(time_col, f"{delay} seconds")
-    sales = marked.where(above_watermark(named(*SALES_EVENTS), time_col))
-    sums = [F.sum("quantity").alias("quantity"), F.sum(line_amount()).alias("revenue")]
-    return _closed_panes(sales, sliding, ["event_name", "product_id"], sums, time_col)
-
-
-def windows_writer(panes: DataFrame, derive: dict[str, Derive], path: str, checkpoint: str,
-                   sliding: Sliding = LIVE) -> DataStreamWriter:
-    """Keeps ``panes`` and writes one table per entry of ``derive`` below ``path``.
+def windows_writer(events: DataFrame, fold: Fold, sums: list[str], derive: dict[str, Derive],
+                   path: str, checkpoint: str, sliding: Sliding = LIVE, delay: int = 0,
+                   time_col: str = "event_time") -> DataStreamWriter:
+    """Keeps the panes of ``events`` and writes one table per entry of ``derive`` below ``path``.
 
     Everything a micro-batch writes carries its id and is overwritten when the batch is
     repeated. Of the panes, stretches older than a window may be dropped at any time.
@@ -60,52 +49,63 @@ def windows_writer(panes: DataFrame, derive: dict[str, Derive], path: str, check
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("stretch", stretch).withColumn("batch", F.lit(batch_id))
+        timed = batch.where(F.col(time_col).isNotNull())
+        rows = fold(timed).withColumn("stretch", stretch).withColumn("batch", F.lit(batch_id))
         rows.hint("rebalance", "stretch").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy(
             "stretch", "batch").parquet(f"{path}/panes")
-        before = _progress(spark, path, batch_id - 1)
-        stored = spark.read.schema(rows.schema).parquet(f"{path}/panes")
-        newest = stored.where(F.col("batch") == batch_id).agg(F.max("pane")).first()[0]
-        newest = before if newest is None else newest
-        if newest != before:
-            recent, fresh = stored.where(F.col("batch") <= batch_id), window <= newest
+        latest, before = _progress(spark, path, batch_id - 1)
+        newest = timed.agg(F.max(F.unix_micros(time_col))).first()[0]
+        latest = max((t for t in (latest, newest) if t is not None), default=None)
+        closed = before
+        if latest is not None:
+            closed = (latest - delay * MICROS) // (sliding.slide * MICROS) - 1
+            closed = closed if before is None else max(before, closed)
+        if closed is not None and (batch_id == 0 or closed != before):
+            stored = spark.read.schema(rows.schema).parquet(f"{path}/panes")
+            recent, fresh = stored.where(F.col("batch") <= batch_id), window <= closed
+            recent = recent.where((F.col("stretch") <= closed // sliding.span)
+                                  & (F.col("pane") <= closed))
             if before is not None:
                 oldest = before - sliding.panes
                 recent = recent.where(
                     (F.col("stretch") >= oldest // sliding.span) & (F.col("pane") > oldest))
                 fresh = fresh & (window > before)
+            keys = [c for c in rows.columns if c not in (*sums, "stretch", "batch")]
+            # a pane has one addition per micro-batch that held events of it
+            summed = recent.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
             for name, windows in derive.items():
-                result = windows(recent.drop("stretch", "batch")).where(fresh)
+                result = windows(summed).where(fresh)
                 result.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
-        progress = spark.createDataFrame([(newest,)], "pane BIGINT")
+        progress = spark.createDataFrame([(latest, closed)], _PROGRESS)
         progress.write.mode("overwrite").parquet(f"{path}/progress/batch={batch_id}")
 
-    return panes.writeStream.outputMode("append").option(
+    return events.writeStream.outputMode("append").option(
         "checkpointLocation", checkpoint).foreachBatch(write)
 
 
-def _progress(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """The newest pane closed up to that micro-batch."""
+def _progress(spark: SparkSession, path: str, batch_id: int) -> tuple[int | None, int | None]:
+    """The newest event time and the newest window closed up to that micro-batch."""
     if batch_id < 0:
-        return None
-    return spark.read.schema("pane BIGINT").parquet(f"{path}/progress/batch={batch_id}").first()[0]
+        return None, None
+    return tuple(spark.read.schema(_PROGRESS).parquet(f"{path}/progress/batch={batch_id}").first())
 
 
 def funnel_writer(events: DataFrame, path: str, checkpoint: str, sliding: Sliding = LIVE,
                   delay: int = 0, time_col: str = "event_time") -> DataStreamWriter:
     """Table ``funnel`` below ``path``."""
-    panes = session_pane_stream(events, sliding, delay, time_col)
-    return windows_writer(panes, {"funnel": lambda p: funnel_of_panes(p, sliding)},
-                          path, checkpoint, sliding)
+    rows = events.select("session_id", "event_name", time_col)
+    return windows_writer(
+        rows, lambda e: session_panes(e, sliding, time_col), list(COUNTS),
+        {"funnel": lambda p: funnel_of_panes(p, sliding)}, path, checkpoint, sliding, delay, time_col)
 
 
 def trending_writer(events: DataFrame, path: str, checkpoint: str, sliding: Sliding = LIVE,
                     k: int = TOP, rank_by: str = "amount", delay: int = 0,
                     time_col: str = "event_time") -> DataStreamWriter:
     """Tables ``top`` and ``totals`` below ``path``."""
-    panes = product_pane_stream(events, sliding, delay, time_col)
-    return windows_writer(panes, {
+    rows = events.select("event_name", "product_id", "quantity", "price_usd", time_col)
+    return windows_writer(rows, lambda e: product_panes(e, sliding, time_col), ["quantity", "revenue"], {
         "top": lambda p: top_of_panes(p, sliding, k, rank_by),
         "totals": lambda p: totals_of_panes(p, sliding),
-    }, path, checkpoint, sliding)
+    }, path, checkpoint, sliding, delay, time_col)

@@ -229,22 +229,15 @@ def test_extract_pages_advance_without_gap_or_repeat(spark, events):
     assert SCHEMA  # the source has the event schema the sinks expect
 
 
-def last_closed(df, sliding, end):
-    """Windows up to the last pane that holds an event before ``end``."""
-    seen = df.where(F.col("event_time") < F.lit(end).cast("timestamp"))
-    newest = seen.agg(F.max(sliding.pane_of(F.col("event_time")))).first()[0]
-    return F.col("window_end") <= F.timestamp_micros(F.lit((newest + 1) * sliding.slide * 10**6))
-
-
 @pytest.mark.parametrize("hours,files", [(2, 4), (30, 3)])
 def test_windows_from_stored_panes_equal_batch(spark, feed, hours, files):
     rows = random_rows(7, 240, sessions=8, products=15, hours=hours, hot=0.3)
     for part in in_order(rows, files):
         feed.publish(*part)
     sales = feed.batch().where("event_name IN ('ADD_TO_CART', 'BOOKING')")
-    expected_funnel = funnel(feed.batch(), SHAPE).where(last_closed(feed.batch(), SHAPE, FAR))
-    expected_top = top_products(sales, SHAPE, k=3).where(last_closed(sales, SHAPE, FAR))
-    expected_totals = trending_totals(sales, SHAPE).where(last_closed(sales, SHAPE, FAR))
+    expected_funnel = closed(funnel(feed.batch(), SHAPE), FAR)
+    expected_top = closed(top_products(sales, SHAPE, k=3), FAR)
+    expected_totals = closed(trending_totals(sales, SHAPE), FAR)
     feed.publish(("s", "NOOP", FAR, 1.0, 1.0, 1.0))
     path = work_path(spark, "panes")
     sinks.drain(panes.funnel_writer(feed.events(), f"{path}/f", f"{path}/f-cp", SHAPE))
@@ -252,3 +245,32 @@ def test_windows_from_stored_panes_equal_batch(spark, feed, hours, files):
     sinks.drain(panes.trending_writer(feed.events(), f"{path}/t", f"{path}/t-cp", SHAPE, k=3))
     assert same(spark.read.parquet(f"{path}/t/top").drop("batch"), expected_top)
     assert same(spark.read.parquet(f"{path}/t/totals").drop("batch"), expected_totals)
+
+
+def test_panes_count_late_events_in_open_windows(spark, feed):
+    """Two minutes late: windows that the watermark has passed keep their values."""
+    def at(minute_second, name="ITEM_DETAIL", session="s1"):
+        return (session, name, f"2024-01-01 01:{minute_second}", 1.0, 1.0, 1.0)
+
+    on_time = [at("00:30"), at("03:30"), at("03:31", "BOOKING")]
+    feed.publish(*on_time)
+    watermark = F.lit("2024-01-01 01:03:31").cast("timestamp")
+    expected = funnel(feed.batch(), SHAPE).where(F.col("window_end") <= watermark).collect()
+    feed.publish(at("01:30", "BOOKING", "s2"))
+    expected += funnel(feed.batch(), SHAPE).where(F.col("window_end") > watermark).collect()
+    feed.publish(("s", "NOOP", FAR, 1.0, 1.0, 1.0))
+    path = work_path(spark, "late")
+    sinks.drain(panes.funnel_writer(feed.events(), path, f"{path}-cp", SHAPE))
+    result = spark.read.parquet(f"{path}/funnel").drop("batch")
+    assert {r["window_end"]: r for r in result.collect()} == {r["window_end"]: r for r in expected}
+
+
+def test_silent_time_closes_windows_and_no_closed_window_reads_empty(spark, feed):
+    feed.publish(("s1", "BOOKING", "2024-01-01 01:00:30", 1.0, 2.0, 3.0))
+    path = work_path(spark, "silent")
+    sinks.drain(panes.trending_writer(feed.events(), path, f"{path}-cp", SHAPE))
+    assert spark.read.parquet(f"{path}/top").count() == 0
+    feed.publish(("s2", "NOOP", "2024-01-01 01:05:00", 1.0, 1.0, 1.0))
+    feed.publish(("s2", "NOOP", "2024-01-01 01:11:00", 1.0, 1.0, 1.0))
+    sinks.drain(panes.trending_writer(feed.events(), path, f"{path}-cp", SHAPE))
+    assert spark.read.parquet(f"{path}/top").count() == SHAPE.panes
