@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.events import (
@@ -172,8 +172,8 @@ def with_subtotals(breakdown: DataFrame, outer: str, inner: str) -> DataFrame:
 
 
 def with_share(breakdown: DataFrame) -> DataFrame:
-    """Each row's share of the total; a breakdown is small, so one window holds it."""
-    total = F.sum("total_sales").over(Window.partitionBy(F.lit(0)))
+    """Each row's share of the total, which is one number from a sum over all tasks."""
+    total = breakdown.agg(F.sum("total_sales")).scalar()
     return breakdown.withColumn("share", F.round(ratio(F.col("total_sales"), total), 6))
 
 

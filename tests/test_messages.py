@@ -60,6 +60,6 @@ def test_time_of_day_as_text(spark):
         spark.conf.unset("spark.sql.timeType.enabled")
 
 
-def test_parsing_prunes_unused_fields(spark):
+def test_good_events_are_counted_by_two_fields(spark):
     plan = good_events(parse(spark, GOOD)).select("session_id", "event_name").agg(F.count("*"))
     assert plan.first()[0] == 1
