@@ -6,11 +6,10 @@ Texts that share a sketch are candidates; a banded alignment of their shingle se
 decides. Exact copies are folded first.
 
 In a bucket, members are compared with pivots, not with each other. The first pivot is the
-member that shares most with others; some of those that stay outside its class are pivots
-of a second round. A text has 24 buckets with pivots of their own, and classes close over
-chains of links, so two texts are parted only if no chain over pivots joins them; the
-README gives the measured recall. A large group of copies costs a few comparisons per
-member, not all its pairs.
+member that shares most with others; members that stay outside its class are pivots of later
+rounds, four times as many each round, until no untested pair of a bucket lies in two
+classes. So no link that a bucket offers is lost, and a large group of copies of one text
+costs one comparison per member.
 """
 
 from __future__ import annotations
@@ -33,8 +32,8 @@ SIMILARITY = 0.8
 # Two texts at the threshold agree in one sketch with probability 0.8 ** 5, and miss all 24
 # with less than 1 in 10,000.
 SKETCHES, LEAST = 24, 5
-# Pivots that a bucket of several classes gets in each round of comparisons.
-PIVOTS = (1, 4)
+# A bucket of several classes gets so many times the pivots of the round before.
+MORE_PIVOTS = 4
 
 
 class Shingler:
@@ -193,8 +192,9 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """node, label of the texts that link to another one."""
     spark = members.sparkSession
     labels = spark.createDataFrame([], "node long, label long")
-    tested, served = [], []  # a stored table of each round
-    for turn, count in enumerate(PIVOTS):
+    tested = served = None  # stored tables, a part of each round
+    turn = 0
+    while True:
         state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         top = state.groupBy("bucket").agg(
             F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top"),
@@ -205,17 +205,16 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         if turn == 0:
             pivots = members.where("node = top")
         else:
-            outside = members.where("label <> main")
-            for done in served:
-                outside = outside.join(done, ["bucket", "node"], "left_anti")
+            outside = members.where("label <> main").join(served, ["bucket", "node"], "left_anti")
             pivots = outside.groupBy("bucket", F.pmod(
-                F.xxhash64("node", F.lit(turn)), F.lit(count)).alias("draw")).agg(
+                F.xxhash64("node", F.lit(turn)), F.lit(MORE_PIVOTS ** min(turn, 15))).alias("draw")).agg(
                 F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top")).select(
                 "bucket", "top.node", "top.label", "top.n")
         pivots = stored(pivots.select("bucket", "node", "label", "n"), "pivots")
         if pivots.isEmpty():
             break
-        served.append(pivots.select("bucket", "node"))
+        now = pivots.select("bucket", "node")
+        served = now if served is None else served.union(now)
         p = pivots.select("bucket", F.col("node").alias("pivot"), F.col("label").alias("p_label"),
                           F.col("n").alias("p_n"))
         # a pair whose counts of shingles differ too much cannot reach the similarity
@@ -223,10 +222,10 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             (F.col("label") != F.col("p_label"))
             & (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n"))).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        for done in tested:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        tested.append(pairs)
+        tested = pairs if tested is None else tested.union(pairs)
         good = stored(_verified(pairs, texts, similarity), "links")
         if not good.isEmpty():
             # links between the labels so far are enough to go on
@@ -236,6 +235,7 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
             labels = components(mapped.union(old))
         members = members.select("bucket", "node", "n", "score")
+        turn += 1
     return labels
 
 

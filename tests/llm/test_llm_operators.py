@@ -157,6 +157,23 @@ def test_near_duplicates(spark, odd):
     assert near.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_in_crowded_buckets(spark):
+    common.ship(spark)
+    template, rows = words(20, 268), []
+    for family in range(60):  # two texts of a family reach the threshold, those of two families just do not
+        shared = template + [f"f{family}-{i}" for i in range(6)]
+        rows += [(2 * family + one, " ".join(shared + [f"f{family}-{one}-{i}" for i in range(30)])) for one in (0, 1)]
+    shingler = near.Shingler()
+    coded = [shingler(t) for _, t in rows]
+    alike = {(a, b) for b in range(len(rows)) for a in range(b) if near.aligned(coded[a], coded[b])}
+    assert alike == {(2 * f, 2 * f + 1) for f in range(60)}
+    sketches = Counter(k for c in coded for k in near.order_minhash(c))
+    assert max(sketches.values()) > 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_alignment_is_the_ordered_overlap():
     draw = random.Random(8)
     for _ in range(200):
