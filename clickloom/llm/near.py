@@ -3,7 +3,8 @@
 A sketch takes the least occurrence-labelled five-word shingles under several hash
 functions and keeps them in text order, so it agrees for texts of high ordered similarity.
 Texts that share a sketch are candidates; a banded alignment of their shingle sequences
-decides. Exact copies are folded first.
+decides. Short texts also share keys of their shingles with a few left out, which finds all
+pairs of them. Exact copies are folded first.
 
 In a bucket, members are compared with pivots, not with each other. The first pivot is the
 member that shares most with others; members that stay outside its class are pivots of later
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,13 @@ from clickloom.llm.components import components
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# Two texts at the threshold agree in one sketch with probability 0.8 ** 5, and miss all 24
-# with less than 1 in 10,000.
+# Two long texts at the threshold agree in one sketch with probability 0.8 ** 5, and miss all
+# 24 with less than 1 in 10,000. Of few shingles the least are drawn without putting back, so
+# short texts agree less often.
 SKETCHES, LEAST = 24, 5
+# Texts of at most so many shingles get keys of what is left when a fifth of their shingles
+# or less goes; two such texts at the threshold always share one. At most 106 keys a text.
+SHORT = 14
 # A bucket of several classes gets so many times the pivots of the round before.
 MORE_PIVOTS = 4
 
@@ -102,6 +108,28 @@ def order_minhash(shingles: np.ndarray, sketches: int = SKETCHES, least: int = L
     return key.view(np.int64).tolist()
 
 
+@cache
+def _kept(n: int, out: int) -> np.ndarray:
+    """The places that stay, in order, for each way to leave out so many of n."""
+    return np.array(list(combinations(range(n), n - out)))
+
+
+def left_out(shingles: np.ndarray) -> list[int]:
+    """Keys of a short text with each choice of a fifth of its shingles or less left out.
+
+    If an alignment at the threshold matches m shingles, neither text has more than m / 4
+    others, which are a fifth of its own at most; so both get the key of the matched ones.
+    """
+    n, keys = len(shingles), set()
+    for out in range(n // 5 + 1) if 0 < n <= SHORT else ():
+        at = _kept(n, out)
+        key = np.full(len(at), 0x51ED270B35AE2F17 + n - out, np.uint64)
+        for i in range(n - out):
+            key = _mixed(key * np.uint64(0x9FB21C651E98DF25) + shingles[at[:, i]])
+        keys.update(key.view(np.int64).tolist())
+    return sorted(keys)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether an alignment of two shingle sequences matches enough of them.
 
@@ -135,7 +163,7 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, hashes of the exact text, shingles and sketches of each row."""
+    """doc_id, hashes of the exact text, count of shingles and keys of each row."""
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +173,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             for text in batch.column("text"):
                 shingles = shingler(text.as_py())
                 counts.append(len(shingles))
-                keys.append(order_minhash(shingles))
+                keys.append(order_minhash(shingles) + left_out(shingles))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("doc_id", "t1", "t2", "t3")], pa.array(counts, pa.int32()),
                  pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "t1", "t2", "t3", "n", "sketches"])

@@ -157,6 +157,26 @@ def test_near_duplicates(spark, odd):
     assert near.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_short_near_duplicates(spark):
+    common.ship(spark)
+    draw, shingler, pairs = random.Random(6), near.Shingler(), 0
+    for _ in range(4000):
+        a = [draw.randrange(40) for _ in range(draw.randrange(1, near.SHORT + 1))]
+        b = [x for x in a if draw.random() < 0.85] + [99] * draw.randrange(2)
+        a, b = (np.array(x, np.uint64) for x in (a, b))
+        if 0 < len(b) <= near.SHORT and near.aligned(a, b):
+            pairs += 1
+            assert set(near.left_out(a)) & set(near.left_out(b))
+    assert pairs > 500
+    assert all(len(k := near.left_out(shingler(" ".join(words(n, n))))) == len(set(k)) <= 106 for n in range(19))
+    rows = []
+    for i in range(60):  # whole texts, and the same without their last word
+        whole = [f"s{i}-{at}" for at in range(9 + i % 10)]
+        rows += [(2 * i, " ".join(whole)), (2 * i + 1, " ".join(whole[:-1]))]
+    got = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_near_duplicates_in_crowded_buckets(spark):
     common.ship(spark)
     template, rows = words(20, 268), []
