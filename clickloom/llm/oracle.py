@@ -32,5 +32,60 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+    FROM scored WHERE same)
+  WHERE nth <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n
+    ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 100 * n.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
+
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM d
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                   ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op3_warc": OP3, "op6_exact_top_k": OP6}
+    return {"op3_warc": OP3, "op6_exact_top_k": OP6, "op11_hard_negatives": OP11, "op12_fill_in_middle": OP12}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, lm, near, packing, quality, sharding, suffix, topk, toxicity, warc
+from clickloom.llm import (
+    decontaminate, fim, hardneg, lm, near, packing, pii, quality, sharding, suffix, topk, toxicity, warc)
 from clickloom.llm.common import documents, ship
 
 
@@ -69,6 +70,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(vectors.withColumn("label", label))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    output, form = F.col("output"), F.col("form")
+    return fim.fill_in_middle(documents(spark, sf_dir)).select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"), F.sha2(output.cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored(output, form).cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    counts = [pii.count_of(spans, kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return pii.personal_data(documents(spark, sf_dir), keep=["doc_id"]).select(
+        "doc_id", *counts, F.sha2(pii.digest(spans, base_only=True).cast("binary"), 256).alias("base_sha256"),
+        pii.digest(spans).alias("spans"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -81,6 +104,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_language_model": op9_language_model,
         "op10_decontamination": op10_decontamination,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_personal_data": op13_personal_data,
     }
 
     def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
