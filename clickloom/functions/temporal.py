@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.schemas import TIME_FORMAT, TIME_OF_DAY_FORMAT
+from clickloom.schemas import FRACTION, TIME_FORMAT, TIME_OF_DAY_FORMAT
 
 
 def parse_time(text: Column) -> Column:
-    """NULL for text that is not in the message format."""
-    return F.try_to_timestamp(text, F.lit(TIME_FORMAT))
+    """NULL for text that is not in the message format, with or without a fraction of seconds."""
+    return F.try_to_timestamp(text, F.lit(TIME_FORMAT + FRACTION))
 
 
 def time_text(value: Column) -> Column:

@@ -29,19 +29,20 @@ def cart_fields(row: str) -> list[Column]:
     ]
 
 
-def cart_sessions(events: DataFrame, gap_seconds: int = GAP_SECONDS,
-                  time_col: str = "event_time") -> DataFrame:
-    """One row per session of a (session, product) pair: ``started, last_seen, only_adds,
-    first``. Two events a whole gap apart are in different sessions.
+_SESSION = ("started", "last_seen", "only_adds", "first")
+
+
+def cart_buckets(events: DataFrame, gap_seconds: int = GAP_SECONDS,
+                 time_col: str = "event_time") -> DataFrame:
+    """Cart events folded into gap-long buckets with their edges: pieces of sessions.
 
-    Events less than a gap apart share a session, so all events of one gap-long bucket
-    do. Buckets are folded first, on the map side, and only their edges are compared. A
-    hot pair is then at most one row per bucket, however many events it has.
+    Events less than a gap apart share a session, so all events of one bucket do. A hot pair
+    is folded on the map side and is at most one row per bucket, however many events it has.
     """
     time = F.col(time_col)
     bucket = whole_parts(F.unix_micros(time), gap_seconds * MICROS)
     first = F.struct("event_time", "event_id", "price_usd", "quantity")
-    buckets = (
+    return (
         events.where(named(*SALES_EVENTS) & time.isNotNull())
         .groupBy(*CART_KEYS, bucket.alias("bucket"))
         .agg(
@@ -49,16 +50,22 @@ def cart_sessions(events: DataFrame, gap_seconds: int = GAP_SECONDS,
             F.bool_and(F.col("event_name") == ADD_TO_CART).alias("only_adds"),
             F.min(first).alias("first"),
         )
-    )
+    ).select(*CART_KEYS, *_SESSION)
+
+
+def sessions_of_pieces(pieces: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    """Joins pieces of sessions, buckets or sessions so far, less than a gap apart."""
     # One shuffle by a hash of the pair serves the window and the grouping behind it.
     keys = ("pair", *CART_KEYS)
-    ordered = Window.partitionBy(*keys).orderBy("bucket")
-    silence = F.unix_micros("started") - F.unix_micros(F.lag("last_seen").over(ordered))
-    opens = F.when(silence >= gap_seconds * MICROS, 1).otherwise(0)
+    ordered = Window.partitionBy(*keys).orderBy("started", "last_seen")
+    # Sessions so far may be longer than a gap, so the last event is not always the last row's.
+    seen = F.max("last_seen").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.unix_micros("started") - F.unix_micros(seen) >= gap_seconds * MICROS, 1).otherwise(0)
     return (
-        buckets.withColumn("pair", F.xxhash64(*CART_KEYS)).repartition("pair")
+        pieces.withColumn("pair", F.xxhash64(*CART_KEYS)).repartition("pair")
         .withColumn("opens", opens)
-        .withColumn("session_no", F.sum("opens").over(ordered))
+        .withColumn("session_no", F.sum("opens").over(
+            ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .groupBy(*keys, "session_no")
         .agg(
             F.min("started").alias("started"), F.max("last_seen").alias("last_seen"),
@@ -67,7 +74,14 @@ def cart_sessions(events: DataFrame, gap_seconds: int = GAP_SECONDS,
     )
 
 
-def _abandoned(sessions: DataFrame, gap_seconds: int) -> DataFrame:
+def cart_sessions(events: DataFrame, gap_seconds: int = GAP_SECONDS,
+                  time_col: str = "event_time") -> DataFrame:
+    """One row per session of a (session, product) pair: ``started, last_seen, only_adds,
+    first``. Two events a whole gap apart are in different sessions."""
+    return sessions_of_pieces(cart_buckets(events, gap_seconds, time_col), gap_seconds)
+
+
+def carts_of_sessions(sessions: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     # A session ends one gap after its last event; its result is stamped just before.
     closed = F.timestamp_micros(F.unix_micros("last_seen") + (gap_seconds * MICROS - 1))
     return sessions.where("only_adds").select(*cart_fields("first"), closed.alias("closed_at"))
@@ -77,15 +91,21 @@ def abandoned_carts(events: DataFrame, gap_seconds: int = GAP_SECONDS,
                     time_col: str = "event_time") -> DataFrame:
     """Sessions with adds and no booking, told by their first add. A booking anywhere in
     the session clears the cart, before the add as well; later adds are not counted."""
-    return _abandoned(cart_sessions(events, gap_seconds, time_col), gap_seconds)
+    return carts_of_sessions(cart_sessions(events, gap_seconds, time_col), gap_seconds)
+
+
+def cart_panes(carts: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
+    """Abandoned carts and lost sales per pane of the carts' closing times."""
+    return carts.groupBy(sliding.pane_of(F.col("closed_at")).alias("pane")).agg(
+        F.count("*").alias("abandoned_count"), F.sum("lost_sale").alias("total_lost_sales"))
 
 
 def abandonment_totals(carts: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
     """Abandoned carts and lost sales per sliding window over the carts' closing times."""
-    panes = carts.select(
-        sliding.pane_of(F.col("closed_at")).alias("pane"),
-        F.lit(1).cast("bigint").alias("abandoned_count"),
-        F.col("lost_sale").alias("total_lost_sales"))
+    return totals_of_cart_panes(cart_panes(carts, sliding), sliding)
+
+
+def totals_of_cart_panes(panes: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
     totals = window_totals(panes, sliding, ["abandoned_count", "total_lost_sales"])
     return totals.select(
         *sliding.bounds(F.col("w")), "abandoned_count",

@@ -12,42 +12,62 @@ from clickloom.schemas import ENRICHED, TIME_FORMAT
 _MATCH, _SALT = "_match", "_salt"
 
 
-def one_per_key(dimension: DataFrame, key: str, newest_by: str | None = None) -> DataFrame:
+def one_per_key(dimension: DataFrame, key: str, newest_by: str | None = None,
+                unique: bool = False) -> DataFrame:
     """One row per key, so that a lookup never multiplies events.
 
     Of several rows the one with the largest ``newest_by`` stays; ties, and all rows if no
     column is named, fall to the largest values of the columns in their order, NULLs least.
-    So the same row stays whatever the order and partitioning of the input. Catalyst sees
-    that the key is unique and drops the whole join from queries that use no column of the
+    So the same row stays whatever the order and partitioning of the input, but every column
+    has to be read to find it.
+
+    ``unique`` is the caller's word that the key has one row, as a primary key has or a frozen
+    dimension. Then only the columns that are used are read. Either way Catalyst sees that
+    the key is unique and drops the whole join from queries that use no column of the
     dimension.
     """
     rest = [c for c in dimension.columns if c != key]
     if not rest:
         return dimension.dropDuplicates([key])
+    if unique:
+        return dimension.groupBy(key).agg(*[F.first(c).alias(c) for c in rest])
     first = [F.col(newest_by).alias("_newest")] if newest_by else []
     winner = F.max(F.struct(*first, *rest)).alias("_winner")
     return dimension.groupBy(key).agg(winner).select(key, *[f"_winner.{c}" for c in rest])
 
 
 def lookup(events: DataFrame, dimension: DataFrame, key: str, salts: int = 1,
-           newest_by: str | None = None) -> DataFrame:
+           newest_by: str | None = None, unique: bool = False, frozen: bool = False) -> DataFrame:
     """Left lookup: every event stays once, unmatched keys leave the attributes NULL.
 
     On a match the dimension's columns replace event columns of the same name, NULLs
     included. There is no broadcast hint: Catalyst and AQE broadcast the dimension when
     its size is below the session's thresholds and shuffle it otherwise, where AQE
     splits skewed keys. ``salts`` > 1 spreads each key over that many partitions from
-    the start, for joins AQE does not re-plan (streams).
+    the start, for joins AQE does not re-plan (streams). Events without a key match nothing
+    and are dealt out over all partitions.
+
+    A ``frozen`` dimension (see ``sources.dimensions``) is joined as it lies, one row per key
+    and dealt out by the key already, so only the events are shuffled.
     """
     # Cast first: a key of the event's type is a join key without further conversion.
-    typed = dimension.withColumn(key, F.col(key).cast(events.schema[key].dataType))
-    rows = one_per_key(typed, key, newest_by).withColumn(_MATCH, F.lit(True))
+    kind = events.schema[key].dataType
+    if frozen:
+        if dimension.schema[key].dataType != kind:
+            raise ValueError(f"freeze the dimension with {key} as {kind.simpleString()}")
+        rows = dimension.withColumn(_MATCH, F.lit(True))
+    else:
+        typed = dimension.withColumn(key, F.col(key).cast(kind))
+        rows = one_per_key(typed, key, newest_by, unique).withColumn(_MATCH, F.lit(True))
     shared = [c for c in events.columns if c in dimension.columns and c != key]
     renamed = rows.withColumnsRenamed({c: f"_dim_{c}" for c in (*shared, key)})
-    on = F.col(key) == F.col(f"_dim_{key}")
+    spread = F.xxhash64(*_atomic_columns(events))
+    # All events without a key would meet in one task. They get a place of their own, which
+    # the second condition keeps from matching.
+    place = F.coalesce(F.col(key), spread.cast(kind) if _holds_hashes(kind) else F.col(key))
+    on = (place == F.col(f"_dim_{key}")) & F.col(key).isNotNull()
     if salts > 1:
-        spread = F.pmod(F.xxhash64(*_atomic_columns(events)), F.lit(salts))
-        events = events.withColumn(_SALT, spread)
+        events = events.withColumn(_SALT, F.pmod(spread, F.lit(salts)))
         copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
         renamed = renamed.withColumn("_dim_salt", copies)
         on = on & (F.col(_SALT) == F.col("_dim_salt"))
@@ -63,6 +83,10 @@ def lookup(events: DataFrame, dimension: DataFrame, key: str, salts: int = 1,
     return joined.select(*[resolved(c) for c in kept], *added)
 
 
+def _holds_hashes(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.LongType, T.DoubleType, T.StringType))
+
+
 def _atomic_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
 
@@ -92,16 +116,18 @@ def conform(df: DataFrame, schema: T.StructType = ENRICHED) -> DataFrame:
 
 
 def enrich(events: DataFrame, customers: DataFrame, products: DataFrame, salts: int = 1,
-           customers_newest_by: str | None = None,
-           products_newest_by: str | None = None) -> DataFrame:
-    """Events with customer, then product attributes; batch or stream."""
-    with_customer = lookup(
-        events, temporals_as_text(customers), "customer_id", salts, customers_newest_by)
-    return lookup(with_customer, products, "product_id", salts, products_newest_by)
+           customers_newest_by: str | None = None, products_newest_by: str | None = None,
+           unique: bool = False, frozen: bool = False) -> DataFrame:
+    """Events with customer, then product attributes; batch or stream. ``unique`` and
+    ``frozen`` hold for both dimensions (see ``lookup``)."""
+    with_customer = lookup(events, customers if frozen else temporals_as_text(customers),
+                           "customer_id", salts, customers_newest_by, unique, frozen)
+    return lookup(with_customer, products, "product_id", salts, products_newest_by, unique, frozen)
 
 
 def enriched_history(events: DataFrame, customers: DataFrame, products: DataFrame,
                      salts: int = 1, customers_newest_by: str | None = None,
-                     products_newest_by: str | None = None) -> DataFrame:
-    return conform(enrich(
-        events, customers, products, salts, customers_newest_by, products_newest_by))
+                     products_newest_by: str | None = None, unique: bool = False,
+                     frozen: bool = False) -> DataFrame:
+    return conform(enrich(events, customers, products, salts, customers_newest_by,
+                          products_newest_by, unique, frozen))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.events import count_where, named
 from clickloom.functions.numbers import percent_or_zero
+from clickloom.operators.latest import newest_fields
 from clickloom.operators.sliding import LIVE, Sliding, span_of, with_spans
 from clickloom.schemas import ADD_TO_CART, PAGE_VIEW, PURCHASE
 
@@ -102,10 +103,12 @@ def funnel_of_panes(panes: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
 
 
 def latest_funnel(metrics: DataFrame) -> DataFrame:
-    """One row, the newest window's numbers, zeros before the first window closes."""
-    columns = list(STAGES.values())
-    newest = metrics.agg(F.max_by(F.struct(*columns), "window_end").alias("m"))
-    return newest.select(*[F.coalesce(F.col(f"m.{c}"), F.lit(0)).alias(c) for c in columns])
+    """One row: of each number the newest window's that holds it, zero before there is one."""
+    return or_zeros(newest_fields(metrics, list(STAGES.values()), "window_end"))
+
+
+def or_zeros(latest: DataFrame) -> DataFrame:
+    return latest.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in STAGES.values()])
 
 
 def funnel_stages(latest: DataFrame) -> DataFrame:

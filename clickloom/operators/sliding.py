@@ -87,35 +87,54 @@ def window_totals(panes: DataFrame, sliding: Sliding, sums: list[str],
     return spread.groupBy(*keys, "w").agg(*[F.sum(c).alias(c) for c in sums])
 
 
+# A sum is kept as whole numbers and a count of these parts of one, both exact, so that what
+# enters a window can be taken out again without a trace.
+_PARTS = 10**12
+# A figure of this size or more, or not a number, is no figure.
+_TOO_LARGE = 1e18
+
+
+def _exact(value: Column) -> tuple[Column, Column]:
+    """A double as a whole number and parts of one."""
+    whole = F.floor(value)
+    return whole.cast("bigint"), F.round((value - whole) * _PARTS).cast("bigint")
+
+
 def key_steps(panes: DataFrame, sliding: Sliding, keys: tuple[str, ...],
               sums: list[str], spread_by: tuple[Column, ...]) -> DataFrame:
     """Sliding sums of many keys as steps: ``keys, span, w_from, w_to, sums``.
 
     ``panes`` has one row per key and pane. A sum changes only where a pane enters or
-    leaves the window, so a key contributes about two steps per pane. The rows are
+    leaves the window, so a key contributes about two steps per pane. Both are signed
+    changes, and one running sum per key and span adds them up: a key with a pane in every
+    slide costs one addition per change, whatever the length of the window. The rows are
     shuffled once, by span and ``spread_by``; callers that group by at least those
     columns need no further shuffle.
     """
     n, span = sliding.panes, sliding.span
     pane, first = F.col("pane"), span_of(F.col("pane"), span)
     next_start = (first + 1) * span
-    spills = pane + n > next_start
-
-    def change(at_span: Column, at: Column, counts: bool) -> Column:
-        # A pane that leaves adds NULL, so a window of NULL panes alone stays NULL.
-        values = [F.col(c) if counts else F.lit(None).cast(panes.schema[c].dataType)
-                  for c in sums]
-        rows = F.lit(1 if counts else 0)
-        return F.struct(at_span.alias("span"), at.alias("w"), rows.alias("live"),
-                        *[v.alias(c) for v, c in zip(values, sums)])
-
-    enters = change(first, pane, True)
-    leaves = change(span_of(pane + n, span), pane + n, False)
-    changes = F.when(
-        spills,
-        F.array(enters, leaves, change(first + 1, pane, True),
-                change(first + 1, next_start, False)),
-    ).otherwise(F.array(enters, leaves))
+    measures = [f"{kind}_{c}" for c in sums for kind in ("held", "whole", "parts")]
+
+    def change(at_span: Column, at: Column, sign: int) -> Column:
+        # A pane without a figure counts as held nowhere, so windows of such panes stay NULL.
+        values = []
+        for c in sums:
+            value = F.when(F.abs(F.col(c).cast("double")) < _TOO_LARGE, F.col(c).cast("double"))
+            whole, parts = _exact(value)
+            held = F.when(value.isNotNull(), sign).otherwise(0)
+            values += [held.cast("bigint"), F.coalesce(whole * sign, F.lit(0)), F.coalesce(parts * sign, F.lit(0))]
+        return F.struct(at_span.alias("span"), at.alias("w"), F.lit(sign).cast("bigint").alias("live"),
+                        *[v.alias(m) for v, m in zip(values, measures, strict=True)])
+
+    enters, leaves = change(first, pane, 1), change(first, pane + n, -1)
+    # Windows that reach into the next span start there anew; at its first window nothing
+    # has to leave, as a span's sums begin with what enters there.
+    again = (change(first + 1, next_start, 1), change(first + 1, pane + n, -1))
+    changes = (
+        F.when(pane + n > next_start, F.array(enters, *again))
+        .when(pane + n == next_start, F.array(enters)).otherwise(F.array(enters, leaves))
+    )
     salts = [c.alias(f"spread_{i}") for i, c in enumerate(spread_by)]
     salt_names = [f"spread_{i}" for i in range(len(salts))]
     rows = (
@@ -124,21 +143,18 @@ def key_steps(panes: DataFrame, sliding: Sliding, keys: tuple[str, ...],
         .repartition("span", *salt_names)
     )
     ordered = Window.partitionBy("span", *salt_names, *keys).orderBy("w")
-    window = ordered.rangeBetween(-(n - 1), Window.currentRow)
-    following = F.lead("w").over(ordered)
-    return (
-        rows.select(
-            *keys, *salt_names, "span",
-            F.col("w").alias("w_from"),
-            F.coalesce(following, (F.col("span") + 1) * span).alias("w_to"),
-            F.sum("live").over(window).alias("live"),
-            *[F.sum(c).over(window).alias(c) for c in sums],
-        )
-        # Rows of the same window are peers with equal sums; the last of them has w_to
-        # beyond w_from. Steps in which the key has no pane are gaps.
-        .where(
-            (F.col("w_from") < F.col("w_to")) & (F.col("live") > 0)
-            & (F.col("w_from") >= F.col("span") * span)
-        )
-        .drop("live")
+    so_far = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.select(
+        *keys, *salt_names, "span", F.col("w").alias("w_from"),
+        F.coalesce(F.lead("w").over(ordered), (F.col("span") + 1) * span).alias("w_to"),
+        *[F.sum(c).over(so_far).alias(c) for c in ("live", *measures)],
     )
+
+    def total(c: str) -> Column:
+        value = F.col(f"whole_{c}") + F.col(f"parts_{c}") / F.lit(float(_PARTS))
+        return F.when(F.col(f"held_{c}") > 0, value).alias(c)
+
+    # Rows of the same window are peers with equal sums; the last of them has w_to beyond
+    # w_from. Steps in which the key has no pane are gaps.
+    return running.where((F.col("w_from") < F.col("w_to")) & (F.col("live") > 0)).select(
+        *keys, *salt_names, "span", "w_from", "w_to", *[total(c) for c in sums])

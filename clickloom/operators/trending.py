@@ -15,7 +15,7 @@ from clickloom.schemas import SALES_EVENTS
 # The length of the top lists and their headings.
 TOP = 10
 HEADINGS = ("Product ID", "Total Quantity", "Total Sales ($)")
-# Product groups per event type and span that are ranked apart before the final ranking.
+# Least product groups per event type and span that are ranked apart before the final ranking.
 SPREAD = 16
 RANK_BY = ("amount", "revenue")
 
@@ -40,7 +40,8 @@ def product_steps(panes: DataFrame, sliding: Sliding = LIVE) -> DataFrame:
     ``amount`` is revenue times quantity, the figure products are ranked by in the live
     tables; ``revenue`` is the plain sum of price times quantity.
     """
-    spread = (F.col("event_name"), F.pmod(F.xxhash64("product_id"), F.lit(SPREAD)))
+    groups = max(SPREAD, int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = (F.col("event_name"), F.pmod(F.xxhash64("product_id"), F.lit(groups)))
     steps = key_steps(panes, sliding, _KEYS, ["quantity", "revenue"], spread)
     revenue = settled(F.col("revenue"))
     return steps.withColumn("revenue", revenue).withColumn(
@@ -118,20 +119,7 @@ def top_of_panes(panes: DataFrame, sliding: Sliding = LIVE, k: int = TOP,
     where they already are; what is left meets once per event type and block, is thinned
     again, and only then spelled out per window. No shuffle carries a row per window.
     """
-    if rank_by not in RANK_BY:
-        raise ValueError(f"rank_by must be one of {RANK_BY}")
-    steps = product_steps(panes, sliding)
-    # Larger blocks make fewer pieces but lower floors; a quarter of a window did best.
-    pieces, size = _blocks(steps, sliding, sliding.panes // 4)
-    group = ["span", *[c for c in steps.columns if c.startswith("spread_")], "block"]
-    product = Window.partitionBy(*group, *_KEYS)
-    # The floor stands on one piece of each product whose figure is there in the whole block.
-    figured = F.when(F.col(rank_by).isNotNull(), F.col("hi") - F.col("lo"))
-    present = F.sum(figured).over(product) == size
-    floor = F.when(present & (F.col("lo") == F.col("block") * size),
-                   F.min(rank_by).over(product))
-    near = _near_winners(pieces.withColumn("floor", floor), group, k, rank_by)
-    near = _near_winners(near, ["event_name", "block"], k, rank_by)
+    near = top_candidates(panes, sliding, k, rank_by)
     ranked = near.select(
         *_KEYS, "quantity", "revenue", "amount", "block",
         F.explode(_windows(F.col("lo"), F.col("hi"))).alias("w"),
@@ -143,12 +131,41 @@ def top_of_panes(panes: DataFrame, sliding: Sliding = LIVE, k: int = TOP,
         "revenue", "amount")
 
 
-def _near_winners(pieces: DataFrame, group: list[str], k: int, rank_by: str) -> DataFrame:
-    """Pieces that reach the group's ``k``-th best floor; all of them if it has fewer."""
+def top_candidates(panes: DataFrame, sliding: Sliding, k: int, rank_by: str) -> DataFrame:
+    """Steps, cut at blocks of windows, that may be among the ``k`` best of a window."""
+    if rank_by not in RANK_BY:
+        raise ValueError(f"rank_by must be one of {RANK_BY}")
+    steps = product_steps(panes, sliding)
+    # Larger blocks make fewer pieces but lower floors; a quarter of a window did best.
+    pieces, size = _blocks(steps, sliding, sliding.panes // 4)
+    pieces = pieces.withColumn("standing", _standing(rank_by))
+    group = ["span", *[c for c in steps.columns if c.startswith("spread_")], "block"]
+    product = Window.partitionBy(*group, *_KEYS)
+    # The floor stands on one piece of each product that is there in the whole block.
+    present = F.sum(F.col("hi") - F.col("lo")).over(product) == size
+    floor = F.when(present & (F.col("lo") == F.col("block") * size),
+                   F.min("standing").over(product))
+    near = _near_winners(pieces.withColumn("floor", floor), group, k)
+    return _near_winners(near, ["event_name", "block"], k)
+
+
+def _standing(rank_by: str) -> Column:
+    """A row's place in the ranking's full order as one comparable value, ties included."""
+    product = F.col("product_id")
+    return F.struct(F.col(rank_by).alias("figure"), F.col("quantity").alias("quantity"),
+                    product.isNull().alias("no_product"), (-product).alias("product"))
+
+
+def _near_winners(pieces: DataFrame, group: list[str], k: int) -> DataFrame:
+    """Pieces that reach the group's ``k``-th best floor; all of them if it has fewer.
+
+    Floors are compared in the full order, so of many products with equal figures only the
+    first by quantity and id stay.
+    """
     place = F.row_number().over(
         Window.partitionBy(*group).orderBy(F.col("floor").desc_nulls_last()))
     bar = F.max(F.when(F.col("place") == k, F.col("floor"))).over(Window.partitionBy(*group))
-    kept = F.col("bar").isNull() | (F.col(rank_by) >= F.col("bar"))
+    kept = F.col("bar").isNull() | (F.col("standing") >= F.col("bar"))
     return pieces.withColumn("place", place).withColumn("bar", bar).where(kept)
 
 
@@ -195,26 +212,35 @@ def trending(events: DataFrame, sliding: Sliding = LIVE, k: int = TOP,
                        trending_totals(events, sliding, time_col))
 
 
-def live_tiles(messages: DataFrame) -> DataFrame:
-    """Totals per window for the live tiles; an absent event type shows zeros."""
+def live_tiles(totals: DataFrame) -> DataFrame:
+    """Totals per window for the live tiles, from ``trending_totals``; an absent event type
+    shows zeros."""
     def total(name: str, field: str, kind: str) -> Column:
-        value = F.col("trending")[name][field]
-        return F.coalesce(value, F.lit(0)).cast(kind)
-
-    return messages.select(
-        "window_start", "window_end",
-        *[
-            total(name, field, kind).alias(f"{name.lower()}_{field}")
-            for name in SALES_EVENTS
-            for field, kind in (("total_quantity", "bigint"), ("total_amount", "double"))
-        ],
-    )
+        value = F.max(F.when(F.col("event_name") == name, F.col(field)))
+        return F.coalesce(value, F.lit(0)).cast(kind).alias(f"{name.lower()}_{field}")
 
+    return totals.groupBy("window_start", "window_end").agg(*[
+        total(name, field, kind) for name in SALES_EVENTS
+        for field, kind in (("total_quantity", "bigint"), ("total_amount", "double"))])
 
-def top_table(messages: DataFrame, event_name: str) -> DataFrame:
-    """The top list of one event type as a display table."""
-    items = F.posexplode(F.col("trending")[event_name]["top10"])
-    return messages.select("window_start", "window_end", items.alias("pos", "t")).select(
-        "window_start", "window_end", (F.col("pos") + 1).alias("rank"),
-        *[F.col(f"t.{c}").alias(heading) for c, heading in
+
+def top_table(top: DataFrame, event_name: str) -> DataFrame:
+    """The top list of one event type as a display table, from ``top_products``."""
+    return top.where(named(event_name)).select(
+        "window_start", "window_end", "rank",
+        *[F.col(c).alias(heading) for c, heading in
           zip(("product_id", "quantity", "amount"), HEADINGS, strict=True)])
+
+
+def tiles_of_messages(messages: DataFrame) -> DataFrame:
+    """The tiles of received messages (see ``as_messages``)."""
+    entries = messages.select("window_start", "window_end", F.explode("trending").alias("event_name", "entry"))
+    return live_tiles(entries.select("window_start", "window_end", "event_name", "entry.*"))
+
+
+def table_of_messages(messages: DataFrame, event_name: str) -> DataFrame:
+    """The display table of received messages."""
+    items = F.posexplode(F.col("trending")[event_name]["top10"])
+    return top_table(messages.select("window_start", "window_end", items.alias("pos", "t")).select(
+        "window_start", "window_end", F.lit(event_name).alias("event_name"), (F.col("pos") + 1).alias("rank"),
+        "t.*"), event_name)

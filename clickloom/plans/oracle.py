@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from clickloom.operators.sliding import LIVE, Sliding
-from clickloom.plans.queries import CHECKPOINT, COARSE, END, LONG_GAP, START
+from clickloom.plans.queries import (
+    CART_DELAY, CHECKPOINT, COARSE, END, FEED_EDGES, LONG_GAP, START)
 
 _CLICKS = """clicks AS (
   SELECT user_id AS customer_id,
@@ -265,6 +266,40 @@ _JSON = """messages AS (
   FROM clicks)"""
 
 
+# The feed: messages in parts, a tenth of them one part late ---------------------------------
+
+def _fed(delay: int) -> str:
+    """Events as received, with the part they come in and the watermark before it."""
+    part = " + ".join(f"CAST(event_time >= TIMESTAMP '{edge}' AS INTEGER)" for edge in FEED_EDGES)
+    return f"""parts AS (
+  SELECT * REPLACE (date_trunc('second', event_time) AS event_time),
+         least({part} + CAST(CAST(event_id AS BIGINT) % 10 = 3 AS INTEGER), {len(FEED_EDGES)}) AS part
+  FROM clicks),
+marks AS (
+  SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+           - INTERVAL {delay} SECOND AS before
+  FROM (SELECT part, max(event_time) AS newest FROM parts GROUP BY part)),
+final AS (SELECT max(event_time) - INTERVAL {delay} SECOND AS watermark FROM parts),
+received AS (
+  SELECT parts.*, before FROM parts JOIN marks USING (part))"""
+
+
+_ON_TIME = "on_time AS (SELECT * FROM received WHERE before IS NULL OR event_time >= before)"
+
+
+def _live_carts(select: str) -> str:
+    carts = _carts_cte(300).replace("FROM clicks", "FROM on_time")
+    return _with(_CLICKS, _fed(CART_DELAY), _ON_TIME, carts, "closed AS (SELECT * FROM carts "
+                 "WHERE closed_at < (SELECT watermark FROM final))", _windowed(LIVE, "closed", "closed_at")) + select
+
+
+def _accounts(delay: int, late: str) -> str:
+    return _with(_CLICKS, _fed(delay)) + f"""SELECT CAST(part AS BIGINT) AS batch_id, count(*) AS events,
+  count(*) FILTER (NOT coalesce({late}, false)) AS on_time,
+  count(*) FILTER (coalesce({late}, false)) AS late, CAST(0 AS BIGINT) AS untimed
+FROM received GROUP BY part"""
+
+
 def registered() -> dict[str, str]:
     extract_where = (f"event_name IN ('BOOKING', 'ADD_TO_CART', 'ITEM_DETAIL') AND "
                      f"(event_time, event_id) > (TIMESTAMP '{CHECKPOINT[0]}', '{CHECKPOINT[1]}')")
@@ -275,6 +310,11 @@ def registered() -> dict[str, str]:
     latest = """latest AS (
   SELECT session_count, add_to_cart_count, purchase_count FROM metrics
   ORDER BY window_end DESC LIMIT 1)"""
+    gapped_latest = """SELECT
+  coalesce(arg_max(session_count, window_end) FILTER (minute(window_end) IN (0, 30)), 0) AS session_count,
+  coalesce(arg_max(add_to_cart_count, window_end) FILTER (minute(window_end) = 20), 0) AS add_to_cart_count,
+  coalesce(arg_max(purchase_count, window_end) FILTER (minute(window_end) = 40), 0) AS purchase_count
+FROM metrics"""
     stages = " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS stage_no, '{label}' AS stage, {c} AS value, "
         f"round({c} / session_count * 100, 2) AS percent_of_initial FROM latest"
@@ -307,6 +347,13 @@ FROM clicks WHERE event_name NOT IN ('ERROR', 'SIGNUP')""",
     ELSE regexp_replace(value, '"event_time":"[^"]*"', '"event_time":"soon"') END AS raw,
   CASE event_name WHEN 'ERROR' THEN 'bad_json' ELSE 'bad_event_time' END AS error
 FROM messages WHERE event_name IN ('ERROR', 'SIGNUP')""",
+        "lenient_events": _with(_CLICKS) + """SELECT * REPLACE (
+  CASE WHEN event_name <> 'ERROR' THEN item_price END AS item_price)
+FROM clicks WHERE event_name <> 'SIGNUP'""",
+        "lenient_dead_letters": _with(_CLICKS) + """SELECT 'bad_json' AS error, count(*) AS messages
+FROM clicks WHERE event_name = 'SIGNUP' HAVING count(*) > 0""",
+        "replayed_feed": _with(_CLICKS) + """SELECT * REPLACE (date_trunc('second', event_time) AS event_time)
+FROM clicks WHERE event_name IN ('BOOKING', 'ADD_TO_CART', 'ITEM_DETAIL')""",
         "enriched_events": _HISTORY + _HISTORY_ROW + " FROM enriched",
         "enriched_unmatched": gaps + _HISTORY_ROW + " FROM enriched",
         "enriched_duplicates": _with(_CLICKS, _CUSTOMERS, _PRODUCTS, """other_customers AS (
@@ -318,6 +365,10 @@ FROM messages WHERE event_name IN ('ERROR', 'SIGNUP')""",
        WHEN c.customer_id % 2 = 0 THEN 'dim' END AS traffic_source, c.gender
 FROM clicks e LEFT JOIN (SELECT * FROM customers WHERE customer_id % 7 <> 3) c
   ON e.customer_id = c.customer_id""",
+        "lookup_frozen": _with(_CLICKS, _CUSTOMERS) + """SELECT e.event_id, e.customer_id,
+  e.price_usd, c.home_country, c.birthdate
+FROM (SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 2 = 0 THEN customer_id END AS customer_id)
+      FROM clicks) e LEFT JOIN customers c ON e.customer_id = c.customer_id""",
         "lookup_salted": _with(_CLICKS, _CUSTOMERS) + """SELECT e.event_id, e.customer_id,
   e.price_usd, c.home_country
 FROM clicks e LEFT JOIN customers c ON e.customer_id = c.customer_id""",
@@ -357,6 +408,22 @@ FROM enriched WHERE {_BOUGHT} GROUP BY home_location_lat, home_location_long""",
         "funnel_10min": _funnel(COARSE),
         "funnel_10s": _funnel(LIVE),
         "latest_funnel": _with(_CLICKS, _funnel_cte(COARSE), latest) + "SELECT * FROM latest",
+        "latest_funnel_with_gaps": _with(_CLICKS, _funnel_cte(COARSE)) + gapped_latest,
+        "stream_latest_funnel": _with(_CLICKS, _funnel_cte(COARSE)) + gapped_latest,
+        "stream_live_top_products": _with(_CLICKS, _fed(0), _products_cte(LIVE)
+            .replace("SELECT event_name, product_id,", "SELECT before, event_name, product_id,")
+            .replace("FROM clicks", "FROM received")
+            .replace("FROM windowed", "FROM windowed WHERE (before IS NULL OR window_end > before)"))
+        + f"{_TOP} AND window_end <= (SELECT watermark FROM final)",
+        # late: the event's last window ends at or before the watermark
+        "stream_live_trending_accounts": _accounts(
+            0, f"""make_timestamp((epoch_us(event_time) // {COARSE.slide * 10**6} + {COARSE.panes})
+                   * {COARSE.slide * 10**6}) <= before"""),
+        "stream_live_abandoned_carts": _live_carts("SELECT * FROM closed"),
+        "stream_live_abandonment_totals": _live_carts(f"""SELECT {_window_start(LIVE)}, window_end,
+  count(*) AS abandoned_count, round(sum(lost_sale), 2) AS total_lost_sales
+FROM windowed WHERE window_end <= (SELECT watermark FROM final) GROUP BY window_end"""),
+        "stream_live_abandonment_accounts": _accounts(CART_DELAY, "event_time < before"),
         "funnel_stages": _with(_CLICKS, _funnel_cte(COARSE), latest) + stages,
         "top_products_10min": _trending(COARSE, _TOP),
         "top_products_by_revenue": _trending(COARSE, """SELECT window_start, window_end,
@@ -371,6 +438,7 @@ WHERE place <= 10"""),
   sum(total_quantity) AS total_quantity, round(sum(total_revenue), 6) AS total_amount
 FROM totals GROUP BY window_start, window_end"""),
         "live_tiles": _trending(COARSE, _TILES),
+        "live_tiles_from_messages": _trending(COARSE, _TILES),
         "top_table_add_to_cart": _trending(COARSE, _top_table("ADD_TO_CART")),
         "top_table_purchase": _trending(COARSE, _top_table("BOOKING")),
         "abandoned_carts_5min": _carts(300),

@@ -12,8 +12,8 @@ from clickloom.operators import abandonment, enrich, funnel, historic, trending
 from clickloom.operators.sliding import LIVE, Sliding
 from clickloom.schemas import ADD_TO_CART, PURCHASE, schema_of
 from clickloom.session import work_path
-from clickloom.sources import adapters, extract, messages, readers, sinks
-from clickloom.streaming import jobs, panes
+from clickloom.sources import adapters, dimensions, extract, messages, readers, replay, sinks
+from clickloom.streaming import accounts, carts, jobs, latest, panes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ CHECKPOINT = ("2024-01-10 00:00:00", "")
 COARSE = Sliding(size=3600, slide=600)
 # The driver's events are sparse; a cart's session there is a matter of hours.
 LONG_GAP = 6 * 3600
+# Where the message feed is cut into what arrives together; a tenth of the events arrives one
+# part late. Carts wait a day for late events.
+FEED_EDGES = ("2024-01-08", "2024-01-15", "2024-01-22")
+CART_DELAY = 86400
 
 _QUERIES: dict[str, Query] = {}
 
@@ -59,8 +63,9 @@ def _products(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir):
-    return enrich.enrich(
-        _events(spark, sf_dir), _customers(spark, sf_dir), _products(spark, sf_dir))
+    """The dimensions' keys are primary keys of the driver's tables."""
+    return enrich.enrich(_events(spark, sf_dir), _customers(spark, sf_dir),
+                         _products(spark, sf_dir), unique=True)
 
 
 def _event_stream(spark, sf_dir):
@@ -131,12 +136,50 @@ def dead_letters(spark, sf_dir):
     return messages.dead_letters(messages.parse_messages(_some_unreadable(spark, sf_dir)))
 
 
+def _loosely_written(spark, sf_dir):
+    """The click stream as messages of several writers: numbers with a fraction or as text,
+    fractions of seconds, a bare NaN, and some that are no objects."""
+    rows = _events(spark, sf_dir)
+    exact = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    plain = rows.select(*[
+        exact.alias(c) if c == "event_time" else F.col(c) for c in rows.columns])
+    text, name = F.to_json(F.struct(*plain.columns)), F.col("event_name")
+    value = (
+        F.when(name == "ITEM_DETAIL", F.regexp_replace(text, r'"customer_id":(\d+)', '"customer_id":$1.0'))
+        .when(name == "ADD_TO_CART", F.regexp_replace(text, r'"quantity":([\d.]+)', '"quantity":"$1"'))
+        .when(name == "ERROR", F.regexp_replace(text, r'"item_price":[\d.E-]+', '"item_price": NaN'))
+        .when(name == "SIGNUP", F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    )
+    return plain.select(value.alias("value"))
+
+
+@_register
+def lenient_events(spark, sf_dir):
+    return messages.good_events(messages.parse_messages(_loosely_written(spark, sf_dir)))
+
+
+@_register
+def lenient_dead_letters(spark, sf_dir):
+    letters = messages.dead_letters(messages.parse_messages(_loosely_written(spark, sf_dir)))
+    return letters.groupBy("error").agg(F.count("*").alias("messages"))
+
+
+@_register
+def replayed_feed(spark, sf_dir):
+    """The replay loop, stopped after its first page and resumed, read back as a consumer."""
+    path, events = work_path(spark, "replay"), _events(spark, sf_dir)
+    replay.replay(events, path, rows=5000, pages=1)
+    replay.replay(events, path, rows=5000)
+    received = readers.message_folder(spark, replay.feed(path), streaming=False)
+    return messages.good_events(messages.parse_messages(received))
+
+
 # Enrichment ------------------------------------------------------------------------------
 
 @_register
 def enriched_events(spark, sf_dir):
-    return enrich.enriched_history(
-        _events(spark, sf_dir), _customers(spark, sf_dir), _products(spark, sf_dir))
+    return enrich.enriched_history(_events(spark, sf_dir), _customers(spark, sf_dir),
+                                   _products(spark, sf_dir), unique=True)
 
 
 @_register
@@ -171,6 +214,17 @@ def lookup_overwrites(spark, sf_dir):
     return enrich.lookup(events, dimension, "customer_id")
 
 
+@_register
+def lookup_frozen(spark, sf_dir):
+    """The lookup in a frozen dimension, half the events without a key."""
+    events = _events(spark, sf_dir).select(
+        "event_id", F.when(F.col("event_id").cast("bigint") % 2 == 0, F.col("customer_id"))
+        .alias("customer_id"), "price_usd")
+    customers = _customers(spark, sf_dir).select("customer_id", "home_country", "birthdate")
+    return enrich.lookup(
+        events, dimensions.freeze(customers, "customer_id", "bigint", 16), "customer_id", frozen=True)
+
+
 @_register
 def lookup_salted(spark, sf_dir):
     """The lookup with every customer spread over several partitions."""
@@ -227,9 +281,19 @@ def _live(name: str, build) -> None:
     _register(query)
 
 
+def _with_gaps(metrics):
+    """Metrics of which no message holds all numbers."""
+    minute = F.minute("window_end")
+    held = {"session_count": minute.isin(0, 30), "add_to_cart_count": minute == 20,
+            "purchase_count": minute == 40}
+    return metrics.select("window_end", *[F.when(on, F.col(c)).alias(c) for c, on in held.items()])
+
+
 _live("funnel_10min", lambda e: funnel.funnel(e, COARSE))
 _live("funnel_10s", lambda e: funnel.funnel(e, LIVE))
 _live("latest_funnel", lambda e: funnel.latest_funnel(funnel.funnel(e, COARSE)))
+_live("latest_funnel_with_gaps", lambda e: funnel.latest_funnel(
+    _with_gaps(funnel.funnel(e, COARSE))))
 _live("funnel_stages", lambda e: funnel.funnel_stages(
     funnel.latest_funnel(funnel.funnel(e, COARSE))))
 _live("top_products_10min", lambda e: trending.top_products(e, COARSE))
@@ -241,11 +305,13 @@ _live("top_products_with_gaps", lambda e: trending.top_products(e.withColumn(
 _live("trending_totals_10min", lambda e: trending.trending_totals(e, COARSE))
 _live("trending_totals_10s", lambda e: trending.trending_totals(e, LIVE))
 _live("grand_totals_10min", lambda e: trending.grand_totals(e, COARSE))
-_live("live_tiles", lambda e: trending.live_tiles(trending.trending(e, COARSE)))
+_live("live_tiles", lambda e: trending.live_tiles(trending.trending_totals(e, COARSE)))
+_live("live_tiles_from_messages",
+      lambda e: trending.tiles_of_messages(trending.trending(e, COARSE)))
 _live("top_table_add_to_cart",
-      lambda e: trending.top_table(trending.trending(e, COARSE), ADD_TO_CART))
+      lambda e: trending.top_table(trending.top_products(e, COARSE), ADD_TO_CART))
 _live("top_table_purchase",
-      lambda e: trending.top_table(trending.trending(e, COARSE), PURCHASE))
+      lambda e: trending.table_of_messages(trending.trending(e, COARSE), PURCHASE))
 _live("abandoned_carts_5min", abandonment.abandoned_carts)
 _live("abandoned_carts_6h", lambda e: abandonment.abandoned_carts(e, LONG_GAP))
 _live("abandonment_totals_10min", lambda e: abandonment.abandonment_totals(
@@ -286,23 +352,87 @@ def stream_funnel_10s(spark, sf_dir):
     return spark.read.parquet(f"{path}/funnel").drop("batch")
 
 
+def _fed(spark, sf_dir, name, writer, late=True):
+    """Runs a writer over the click stream as messages, which arrive in four parts.
+
+    Each part is published by parallel tasks and drained before the next one comes, so it is a
+    micro-batch of its own, and every part but the first meets a restarted query. A tenth of
+    the events arrives one part late. ``writer`` takes events, path and checkpoint.
+    """
+    path = work_path(spark, name)
+    events, feed = _events(spark, sf_dir), f"{path}/feed"
+    time = F.col("event_time")
+    part = sum(((time >= F.lit(edge).cast("timestamp")).cast("int") for edge in FEED_EDGES), F.lit(0))
+    if late:
+        held_back = F.col("event_id").cast("bigint") % 10 == 3
+        part = F.least(part + held_back.cast("int"), F.lit(len(FEED_EDGES)))
+    for i in range(len(FEED_EDGES) + 1):
+        sinks.publish_folder(events.where(part == i), feed)
+        received = readers.message_folder(spark, feed, files_per_batch=None)
+        sinks.drain(writer(messages.good_events(messages.parse_messages(received)),
+                           f"{path}/out", f"{path}/checkpoint"))
+    return f"{path}/out"
+
+
+def _table(spark, path):
+    return spark.read.parquet(path).drop("batch")
+
+
 @_register
 def stream_funnel_from_messages(spark, sf_dir):
-    """JSON messages in several files, a micro-batch each, decoded and kept in panes."""
-    feed, path = work_path(spark, "feed"), work_path(spark, "message-panes")
-    events = _events(spark, sf_dir)
-    edges = [None, "2024-01-08", "2024-01-15", "2024-01-22", None]
-    for low, high in zip(edges, edges[1:], strict=False):
-        part = events
-        if low:
-            part = part.where(F.col("event_time") >= F.lit(low).cast("timestamp"))
-        if high:
-            part = part.where(F.col("event_time") < F.lit(high).cast("timestamp"))
-        sinks.publish_folder(part.coalesce(1), feed)
-    received = messages.parse_messages(readers.message_folder(spark, feed, files_per_batch=1))
-    sinks.drain(panes.funnel_writer(
-        messages.good_events(received), path, f"{path}-checkpoint", COARSE))
-    return spark.read.parquet(f"{path}/funnel").drop("batch")
+    """JSON messages, decoded and kept in panes."""
+    path = _fed(spark, sf_dir, "message-panes",
+                lambda e, out, cp: panes.funnel_writer(e, out, cp, COARSE), late=False)
+    return _table(spark, f"{path}/funnel")
+
+
+@_register
+def stream_live_top_products(spark, sf_dir):
+    """Trending at the live windows from messages; late events count in windows yet open."""
+    path = _fed(spark, sf_dir, "live-trending",
+                lambda e, out, cp: panes.trending_writer(e, out, cp, LIVE))
+    return _table(spark, f"{path}/top")
+
+
+@_register
+def stream_live_trending_accounts(spark, sf_dir):
+    path = _fed(spark, sf_dir, "live-trending",
+                lambda e, out, cp: panes.trending_writer(e, out, cp, COARSE))
+    return accounts.accounts(spark, path)
+
+
+def _live_carts(spark, sf_dir):
+    return _fed(spark, sf_dir, "live-carts", lambda e, out, cp: carts.abandonment_writer(
+        e, out, cp, LIVE, delay=CART_DELAY))
+
+
+@_register
+def stream_live_abandoned_carts(spark, sf_dir):
+    """Carried sessions with the live gap, from messages, a day of lateness allowed."""
+    return _table(spark, f"{_live_carts(spark, sf_dir)}/carts")
+
+
+@_register
+def stream_live_abandonment_totals(spark, sf_dir):
+    return _table(spark, f"{_live_carts(spark, sf_dir)}/totals")
+
+
+@_register
+def stream_live_abandonment_accounts(spark, sf_dir):
+    """Events on time and late add up to the events read, micro-batch by micro-batch."""
+    return accounts.accounts(spark, _live_carts(spark, sf_dir))
+
+
+@_register
+def stream_latest_funnel(spark, sf_dir):
+    """The last known numbers from messages that hold one or none of them each."""
+    path = work_path(spark, "latest")
+    metrics = _with_gaps(funnel.funnel(_events(spark, sf_dir), COARSE))
+    for i in (1, 0, 2):  # the newest messages do not come last
+        sinks.publish_folder(metrics.where(F.dayofmonth("window_end") % 3 == i), f"{path}/feed")
+        received = readers.message_folder(spark, f"{path}/feed", files_per_batch=None)
+        sinks.drain(latest.latest_writer(latest.decode(received), f"{path}/state", f"{path}/checkpoint"))
+    return latest.latest_state(spark, f"{path}/state")
 
 
 def _trending_from_panes(spark, sf_dir, table):
@@ -346,7 +476,9 @@ def stream_history(spark, sf_dir):
     """Enrich the stream into the partitioned history table and read that back."""
     path = work_path(spark, "history")
     enriched = jobs.enriched_stream(
-        _event_stream(spark, sf_dir), _customers(spark, sf_dir), _products(spark, sf_dir))
+        _event_stream(spark, sf_dir),
+        dimensions.freeze(_customers(spark, sf_dir), "customer_id", "bigint", 16),
+        dimensions.freeze(_products(spark, sf_dir), "product_id", "double", 16), frozen=True)
     sinks.drain(sinks.append_history_stream(enriched, path, f"{path}-checkpoint"))
     return readers.history(spark, path)
 

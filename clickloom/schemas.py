@@ -10,6 +10,8 @@ ADD_TO_CART = "ADD_TO_CART"
 PURCHASE = "BOOKING"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIME_OF_DAY_FORMAT = "HH:mm:ss"
+# One to nine digits, which a writer may add to the time.
+FRACTION = "[.SSSSSSSSS]"
 
 SALES_EVENTS = (ADD_TO_CART, PURCHASE)
 KNOWN_EVENTS = (PAGE_VIEW, ADD_TO_CART, PURCHASE)

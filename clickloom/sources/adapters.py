@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from clickloom.operators.enrich import one_per_key
 from clickloom.schemas import ADD_TO_CART, PAGE_VIEW, PURCHASE
 
 # The driver's tables never change, so each file's schema is inferred once per process.
@@ -46,7 +47,8 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` in the stored shape (schemas.CUSTOMER)."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = one_per_key(
+        table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "n_nationkey", unique=True)
     customers = table(spark, sf_dir, "customer")
     with_nation = customers.join(
         nation, customers["c_nationkey"] == nation["n_nationkey"], "left")

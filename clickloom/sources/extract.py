@@ -30,6 +30,15 @@ def after(events: DataFrame, checkpoint: Checkpoint,
     )
 
 
+def up_to(events: DataFrame, checkpoint: Checkpoint) -> DataFrame:
+    """Events up to the checkpoint, itself included."""
+    time, event_id = F.lit(checkpoint[0]).cast("timestamp"), F.lit(checkpoint[1])
+    return events.where(
+        (F.col("event_time") <= time)
+        & ((F.col("event_time") < time) | (F.col("event_id") <= event_id))
+    )
+
+
 def next_page(events: DataFrame, checkpoint: Checkpoint,
               names: Iterable[str] = KNOWN_EVENTS, rows: int = PAGE_ROWS) -> DataFrame:
     """The next ``rows`` events in keyset order; the page size is the feature."""

@@ -22,11 +22,15 @@ def topic(spark: SparkSession, servers: str, name: str, streaming: bool = True,
 
 
 def message_folder(spark: SparkSession, path: str, streaming: bool = True,
-                   files_per_batch: int = 1000) -> DataFrame:
-    """One message per line of the text files in a folder."""
+                   files_per_batch: int | None = 1000) -> DataFrame:
+    """One message per line of the text files in a folder. With no limit on the files, what is
+    there when a micro-batch begins is one micro-batch."""
     if not streaming:
         return spark.read.text(path)
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path)
 
 
 def table_folder(spark: SparkSession, path: str, schema: T.StructType,

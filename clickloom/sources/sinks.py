@@ -13,9 +13,9 @@ from clickloom.functions.events import day_of
 from clickloom.sources.messages import encode
 
 
-def publish_folder(rows: DataFrame, path: str) -> None:
-    """Append rows as JSON messages, one per line."""
-    encode(rows).write.mode("append").text(path)
+def publish_folder(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Rows as JSON messages, one per line, behind those that are there."""
+    encode(rows).write.mode(mode).text(path)
 
 
 def publish_topic(rows: DataFrame, servers: str, name: str) -> None:

@@ -124,7 +124,8 @@ def abandonment_stream(events: DataFrame, sliding: Sliding = LIVE,
 
 def enriched_stream(events: DataFrame, customers: DataFrame, products: DataFrame,
                     salts: int = 1, customers_newest_by: str | None = None,
-                    products_newest_by: str | None = None) -> DataFrame:
-    """Stateless enrichment; the batch function works on a stream as it is."""
-    return enriched_history(
-        events, customers, products, salts, customers_newest_by, products_newest_by)
+                    products_newest_by: str | None = None, frozen: bool = False) -> DataFrame:
+    """Stateless enrichment; the batch function works on a stream as it is. Freeze large
+    dimensions first: others are read, made unique and shuffled in every micro-batch."""
+    return enriched_history(events, customers, products, salts, customers_newest_by,
+                            products_newest_by, frozen=frozen)

@@ -3,7 +3,7 @@
 The plain jobs keep every open window of every key in the state store, 360 per key with
 the live windows. Here no state store is needed: each micro-batch folds its events into
 panes, stores those as additions, and derives the windows that it closed by the batch
-operators, from the panes of the last window length.
+operators, from the panes of the last window length. Older panes are dropped.
 
 A window closes with the micro-batch whose events move the watermark (the newest event
 time, of any kind of event, less ``delay``) to its end or past it. A late event counts in
@@ -21,6 +21,8 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from clickloom.operators.funnel import COUNTS, event_counts, funnel_of_panes
 from clickloom.operators.sliding import LIVE, MICROS, Sliding, span_of
 from clickloom.operators.trending import TOP, product_panes, top_of_panes, totals_of_panes
+from clickloom.streaming.accounts import Accounts
+from clickloom.streaming.state import carried, carry, drop_folder, prepare
 
 Fold = Callable[[DataFrame], DataFrame]
 Derive = Callable[[DataFrame], DataFrame]
@@ -38,24 +40,33 @@ def session_panes(events: DataFrame, sliding: Sliding = LIVE,
 def windows_writer(events: DataFrame, fold: Fold, sums: list[str], derive: dict[str, Derive],
                    path: str, checkpoint: str, sliding: Sliding = LIVE, delay: int = 0,
                    time_col: str = "event_time") -> DataStreamWriter:
-    """Keeps the panes of ``events`` and writes one table per entry of ``derive`` below ``path``.
+    """Keeps the panes of ``events`` and writes one table per entry of ``derive`` below
+    ``path``, besides ``late`` and ``accounts`` (see ``Accounts``).
 
     Everything a micro-batch writes carries its id and is overwritten when the batch is
-    repeated. Of the panes, stretches older than a window may be dropped at any time.
+    repeated. Panes lie in stretches of 24 windows' length; those that no later window needs
+    are dropped, so what is stored and listed follows the window and not the stream's age.
     """
-    stretch = span_of(F.col("pane"), sliding.span)
+    n = sliding.panes
     # The number of the last pane of a window.
     window = sliding.pane_of(F.col("window_end")) - 1
+    no_events = fold(events.sparkSession.createDataFrame([], events.schema))
+    keys = [c for c in no_events.columns if c not in sums]
+    summed = [F.sum(c).alias(c) for c in sums]
+    for name, windows in derive.items():
+        prepare(windows(no_events.groupBy(*keys).agg(*summed)), f"{path}/{name}")
+    accounts = Accounts(events, path, time_col)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        timed = batch.where(F.col(time_col).isNotNull())
-        rows = fold(timed).withColumn("stretch", stretch).withColumn("batch", F.lit(batch_id))
+        latest, before = carried(spark, f"{path}/progress", _PROGRESS, batch_id).first() or (None, None)
+        # An event whose last window is closed counts nowhere.
+        late = F.lit(False) if before is None else sliding.pane_of(F.col(time_col)) + (n - 1) <= before
+        on_time, newest = accounts.settle(batch, late, batch_id)
+        rows = fold(on_time).withColumn(
+            "stretch", span_of(F.col("pane"), sliding.span)).withColumn("batch", F.lit(batch_id))
         rows.hint("rebalance", "stretch").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy(
-            "stretch", "batch").parquet(f"{path}/panes")
-        latest, before = _progress(spark, path, batch_id - 1)
-        newest = timed.agg(F.max(F.unix_micros(time_col))).first()[0]
+            "partitionOverwriteMode", "dynamic").partitionBy("stretch", "batch").parquet(f"{path}/panes")
         latest = max((t for t in (latest, newest) if t is not None), default=None)
         closed = before
         if latest is not None:
@@ -64,31 +75,29 @@ def windows_writer(events: DataFrame, fold: Fold, sums: list[str], derive: dict[
         if closed is not None and (batch_id == 0 or closed != before):
             stored = spark.read.schema(rows.schema).parquet(f"{path}/panes")
             recent, fresh = stored.where(F.col("batch") <= batch_id), window <= closed
-            recent = recent.where((F.col("stretch") <= closed // sliding.span)
-                                  & (F.col("pane") <= closed))
+            recent = recent.where((F.col("stretch") <= closed // sliding.span) & (F.col("pane") <= closed))
             if before is not None:
-                oldest = before - sliding.panes
-                recent = recent.where(
-                    (F.col("stretch") >= oldest // sliding.span) & (F.col("pane") > oldest))
+                oldest = before - n
+                recent = recent.where((F.col("stretch") >= oldest // sliding.span) & (F.col("pane") > oldest))
                 fresh = fresh & (window > before)
-            keys = [c for c in rows.columns if c not in (*sums, "stretch", "batch")]
             # a pane has one addition per micro-batch that held events of it
-            summed = recent.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+            added_up = recent.groupBy(*keys).agg(*summed)
             for name, windows in derive.items():
-                result = windows(summed).where(fresh)
+                result = windows(added_up).where(fresh)
                 result.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
-        progress = spark.createDataFrame([(latest, closed)], _PROGRESS)
-        progress.write.mode("overwrite").parquet(f"{path}/progress/batch={batch_id}")
+        carry(spark.createDataFrame([(latest, closed)], _PROGRESS), f"{path}/progress", batch_id)
+        if before is not None:
+            _drop_stretches(spark, f"{path}/panes", (before - n) // sliding.span)
 
     return events.writeStream.outputMode("append").option(
         "checkpointLocation", checkpoint).foreachBatch(write)
 
 
-def _progress(spark: SparkSession, path: str, batch_id: int) -> tuple[int | None, int | None]:
-    """The newest event time and the newest window closed up to that micro-batch."""
-    if batch_id < 0:
-        return None, None
-    return tuple(spark.read.schema(_PROGRESS).parquet(f"{path}/progress/batch={batch_id}").first())
+def _drop_stretches(spark: SparkSession, path: str, oldest: int) -> None:
+    """Drops the stretches before ``oldest``; a repeated micro-batch reads from there on."""
+    stored = spark.read.schema("stretch BIGINT").parquet(path)
+    for row in stored.where(F.col("stretch") < oldest).select("stretch").distinct().collect():
+        drop_folder(spark, f"{path}/stretch={row['stretch']}")
 
 
 def funnel_writer(events: DataFrame, path: str, checkpoint: str, sliding: Sliding = LIVE,

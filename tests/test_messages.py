@@ -1,7 +1,8 @@
-from pyspark.sql import functions as F
+import re
 
 from clickloom.functions.temporal import temporals_as_text
 from clickloom.sources.messages import dead_letters, encode, good_events, parse_messages
+from test_enrich import plan_of
 
 GOOD = ('{"customer_id": 7, "session_id": "s1", "event_name": "BOOKING", '
         '"event_time": "2024-01-01 10:00:00", "product_id": 12, "quantity": 2, '
@@ -60,6 +61,23 @@ def test_time_of_day_as_text(spark):
         spark.conf.unset("spark.sql.timeType.enabled")
 
 
-def test_good_events_are_counted_by_two_fields(spark):
-    plan = good_events(parse(spark, GOOD)).select("session_id", "event_name").agg(F.count("*"))
-    assert plan.first()[0] == 1
+def test_numbers_are_taken_as_they_are_written(spark):
+    loose = (GOOD.replace('"customer_id": 7', '"customer_id": 7.0').replace('"quantity": 2', '"quantity": "2"')
+             .replace("10:00:00", "10:00:00.5"))
+    row = good_events(parse(spark, loose)).first()
+    assert (row.customer_id, row.quantity, str(row.event_time)) == (7, 2.0, "2024-01-01 10:00:00.500000")
+    odd = good_events(parse(spark, GOOD.replace('"customer_id": 7', '"customer_id": "x"'))).first()
+    assert odd.customer_id is None and odd.session_id == "s1"
+    assert good_events(parse(spark, GOOD.replace('"s1"', '"a: NaN, b"'))).first().session_id == "a: NaN, b"
+
+
+def test_only_objects_are_events(spark):
+    assert {r.error for r in parse(spark, "5", "[1]", f"[{GOOD}]", '"x"', "null").collect()} == {"bad_json"}
+    assert good_events(parse(spark, f"  {GOOD}")).count() == 1
+
+
+def test_only_the_fields_in_use_are_taken_out(spark):
+    plan = plan_of(good_events(parse(spark, GOOD)).select("session_id", "event_name"))
+    taken = set(re.findall(r"try_variant_get\([^,]+, \$([^,]+),", plan))
+    assert taken == {"['session_id']", "['event_name']", ".event_time"}
+    assert plan.count("explode(") == 1

@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.events import line_amount
 from clickloom.functions.numbers import settled
-from clickloom.operators.sliding import Sliding
+from clickloom.operators.sliding import LIVE, Sliding
 from clickloom.operators.trending import (
-    live_tiles, product_panes, top_products, top_table, trending, trending_totals)
+    live_tiles, product_panes, product_steps, table_of_messages, tiles_of_messages, top_candidates, top_products, top_table,
+    trending, trending_totals)
 from events import random_rows, same
+from test_enrich import plan_of
 from test_sliding import by_definition
 
 ONE = Sliding(3600, 3600)
@@ -95,13 +97,40 @@ def test_messages_tiles_and_tables(events):
     message = messages.first().trending
     assert set(message) == {"ADD_TO_CART"}
     assert [i.product_id for i in message["ADD_TO_CART"].top10] == [2.0, 1.0]
-    tiles = live_tiles(messages).first()
+    tiles = live_tiles(trending_totals(df, ONE)).first()
+    assert tiles_of_messages(messages).first() == tiles
     assert tiles.add_to_cart_total_quantity == 3 and tiles.add_to_cart_total_amount == 90.0
     assert tiles.booking_total_quantity == 0 and tiles.booking_total_amount == 0.0
-    table = top_table(messages, "ADD_TO_CART").collect()
+    table = top_table(top_products(df, ONE), "ADD_TO_CART").collect()
+    assert sorted(map(tuple, table_of_messages(messages, "ADD_TO_CART").collect())) == sorted(map(tuple, table))
     assert [(r["rank"], r["Product ID"], r["Total Sales ($)"]) for r in table] == [
         (1, 2.0, 50.0), (2, 1.0, 40.0)]
-    assert top_table(messages, "BOOKING").isEmpty()
+    assert top_table(top_products(df, ONE), "BOOKING").isEmpty()
+    assert table_of_messages(messages, "BOOKING").isEmpty()
+
+
+def test_sums_leave_no_trace_of_what_left_the_window(events):
+    """Running sums: large figures enter and leave again, small ones stay exact."""
+    rows = [("s", "BOOKING", f"{h:02d}:{m:02d}:00", 1.0, 1.0, 1e11 if m == 0 else 0.1 + m / 1000)
+            for h in range(6) for m in range(0, 60, 3)]
+    shape = Sliding(600, 60)
+    assert same(top_products(events(*rows), shape), top_by_definition(events(*rows), shape, 10, "amount"))
+
+
+def test_running_sums_need_one_addition_per_change(events):
+    plan = plan_of(product_steps(product_panes(events(*random_rows(1, 9, 3, 3, 1)), LIVE), LIVE))
+    assert "RangeFrame, unboundedpreceding$(), currentrow$()" in plan
+    assert "RangeFrame, -" not in plan
+
+
+def test_products_of_equal_figures_are_pruned(events):
+    """Of 400 products that tie in everything but the id, few are spelled out per window."""
+    df = events(*[("s", "BOOKING", "00:00:01", float(p), 1.0, 5.0) for p in range(400)])
+    shape = Sliding(600, 10)
+    top = top_products(df, shape, k=3)
+    assert {r.product_id for r in top.select("product_id").distinct().collect()} == {0.0, 1.0, 2.0}
+    spelled = top_candidates(product_panes(df, shape), shape, 3, "amount").where("hi - lo = 15")
+    assert spelled.count() <= 4 * 3
 
 
 def test_unknown_ranking_is_refused(events):
