@@ -62,10 +62,11 @@ def lookup(events: DataFrame, dimension: DataFrame, key: str, salts: int = 1,
     shared = [c for c in events.columns if c in dimension.columns and c != key]
     renamed = rows.withColumnsRenamed({c: f"_dim_{c}" for c in (*shared, key)})
     spread = F.xxhash64(*_atomic_columns(events))
-    # All events without a key would meet in one task. They get a place of their own, which
-    # the second condition keeps from matching.
-    place = F.coalesce(F.col(key), spread.cast(kind) if _holds_hashes(kind) else F.col(key))
-    on = (place == F.col(f"_dim_{key}")) & F.col(key).isNotNull()
+    on = F.col(key) == F.col(f"_dim_{key}")
+    if (frozen or salts > 1) and _holds_hashes(kind):
+        # All events without a key would meet in one task. They get a place of their own, which
+        # the second condition keeps from matching.
+        on = (F.coalesce(F.col(key), spread.cast(kind)) == F.col(f"_dim_{key}")) & F.col(key).isNotNull()
     if salts > 1:
         events = events.withColumn(_SALT, F.pmod(spread, F.lit(salts)))
         copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))

@@ -310,6 +310,9 @@ def registered() -> dict[str, str]:
     latest = """latest AS (
   SELECT session_count, add_to_cart_count, purchase_count FROM metrics
   ORDER BY window_end DESC LIMIT 1)"""
+    daily_counts = _HISTORY + f"""SELECT CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS event_date,
+  event_name, count(*) AS total_users
+FROM enriched WHERE {_IN_RANGE} AND {_SALES} GROUP BY 1, 2"""
     gapped_latest = """SELECT
   coalesce(arg_max(session_count, window_end) FILTER (minute(window_end) IN (0, 30)), 0) AS session_count,
   coalesce(arg_max(add_to_cart_count, window_end) FILTER (minute(window_end) = 20), 0) AS add_to_cart_count,
@@ -388,9 +391,7 @@ FROM enriched WHERE {_BOUGHT}""",
         + "SELECT * FROM figures",
         "sales_by_device_and_source": _history_with(_DEVICE_SALES) + "SELECT * FROM device_sales",
         "sales_by_gender": _history_with(_GENDER_SALES) + "SELECT * FROM gender_sales",
-        "daily_event_counts": _HISTORY + f"""SELECT CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS event_date,
-  event_name, count(*) AS total_users
-FROM enriched WHERE {_IN_RANGE} AND {_SALES} GROUP BY 1, 2""",
+        "daily_event_counts": daily_counts,
         "sales_by_category": _history_with(_CATEGORY_SALES) + "SELECT * FROM category_sales",
         "top_sold_products": _history_with(_LEADERBOARD) + "SELECT * FROM leaderboard",
         "sales_by_location": _HISTORY + f"""SELECT home_location_lat, home_location_long,
@@ -468,6 +469,11 @@ WHERE closed_at < (SELECT max(ts) FROM events)"""),
         "stream_history": _HISTORY + _HISTORY_ROW
         + ", CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS event_date FROM enriched",
         "history_key_figures": key_figures,
+        "rollup_key_figures": key_figures,
+        "rollup_daily_event_counts": daily_counts,
+        "rollup_top_sold_products": _history_with(_LEADERBOARD) + "SELECT * FROM leaderboard",
+        "rollup_sales_by_category": _history_with(_CATEGORY_SALES) + "SELECT * FROM category_sales",
+        "rollup_sales_by_device_and_source": _history_with(_DEVICE_SALES) + "SELECT * FROM device_sales",
         "stream_messages": _funnel(COARSE, f"""SELECT window_end, session_count,
   add_to_cart_count, purchase_count, purchase_percentage FROM metrics WHERE {_CLOSED}"""),
     }

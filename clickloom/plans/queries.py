@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.operators import abandonment, enrich, funnel, historic, trending
+from clickloom.operators import abandonment, enrich, funnel, historic, rollup, trending
 from clickloom.operators.sliding import LIVE, Sliding
 from clickloom.schemas import ADD_TO_CART, PURCHASE, schema_of
 from clickloom.session import work_path
 from clickloom.sources import adapters, dimensions, extract, messages, readers, replay, sinks
-from clickloom.streaming import accounts, carts, jobs, latest, panes
+from clickloom.streaming import accounts, carts, jobs, latest, panes, rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -483,6 +483,29 @@ def stream_history(spark, sf_dir):
     return readers.history(spark, path)
 
 
+def _rolled_up(name: str, build) -> None:
+    """A report from daily summaries that a stream of messages has fed."""
+    def query(spark, sf_dir):
+        customers = dimensions.freeze(_customers(spark, sf_dir), "customer_id", "bigint", 16)
+        products = dimensions.freeze(_products(spark, sf_dir), "product_id", "double", 16)
+        path = _fed(spark, sf_dir, "rollup", lambda e, out, cp: rollups.rollup_writer(
+            jobs.enriched_stream(e, customers, products, frozen=True), out, cp))
+        return build(*[rollups.summary(spark, path, t) for t in rollups.TABLES])
+
+    query.__name__ = name
+    _register(query)
+
+
+_rolled_up("rollup_key_figures", lambda totals, sales, sessions, buyers: rollup.key_figures(
+    totals, sessions, buyers, START, END))
+_rolled_up("rollup_daily_event_counts", lambda totals, *_: rollup.daily_event_counts(totals, START, END))
+_rolled_up("rollup_top_sold_products", lambda totals, sales, *_: rollup.top_sold_products(sales, START, END))
+_rolled_up("rollup_sales_by_category", lambda totals, sales, *_: rollup.sales_by(
+    sales, "product", ("masterCategory", "subCategory"), START, END).drop("total_quantity"))
+_rolled_up("rollup_sales_by_device_and_source", lambda totals, sales, *_: rollup.sales_by(
+    sales, "device", whole=True, digits=2).drop("total_quantity"))
+
+
 @_register
 def history_key_figures(spark, sf_dir):
     """Key figures from the history table, pruned to the partitions of the date range."""

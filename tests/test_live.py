@@ -254,13 +254,14 @@ def test_events_without_a_key_are_dealt_out(spark):
     """Half of the keys are NULL; no task of the join holds all of them."""
     events = spark.range(4000).select(
         F.when(F.col("id") % 2 == 0, F.col("id") % 50).alias("customer_id"), F.col("id").alias("event_id"))
-    customers = spark.range(50).select(F.col("id").alias("customer_id"), F.lit("x").alias("gender"))
+    customers = dimensions.freeze(
+        spark.range(50).select(F.col("id").alias("customer_id"), F.lit("x").alias("gender")), "customer_id", "bigint", 8)
     keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions",
                                            "spark.sql.adaptive.enabled")}
     for key, value in zip(keep, ("-1", "8", "false"), strict=True):
         spark.conf.set(key, value)
     try:
-        joined = enrich.lookup(events, customers, "customer_id").withColumn("task", F.spark_partition_id())
+        joined = enrich.lookup(events, customers, "customer_id", frozen=True).withColumn("task", F.spark_partition_id())
         sizes = [r["count"] for r in joined.where("customer_id IS NULL AND gender IS NULL").groupBy("task").count().collect()]
         assert joined.where("gender IS NULL").count() == 2000
     finally:
