@@ -7,10 +7,12 @@ decides. Short texts also share keys of their shingles with a few left out, whic
 pairs of them. Exact copies are folded first.
 
 In a bucket, members are compared with pivots, not with each other. The first pivot is the
-member that shares most with others; members that stay outside its class are pivots of later
-rounds, four times as many each round, until no untested pair of a bucket lies in two
-classes. So no link that a bucket offers is lost, and a large group of copies of one text
-costs one comparison per member.
+member that shares most with others; of the members that stay outside its class up to four are
+pivots of a second round. So a large group of copies costs one comparison per member, and small
+buckets are done. What is left are crowded buckets of texts that share a passage or a template
+and are no copies. Among the texts of those, all links are found by a prefix join: a text
+offers its rarest shingles only, so many that two texts at the threshold share one of them.
+No link that a bucket offers is lost, and a shared template brings no pairs.
 """
 
 from __future__ import annotations
@@ -38,8 +40,10 @@ SKETCHES, LEAST = 24, 5
 # Texts of at most so many shingles get keys of what is left when a fifth of their shingles
 # or less goes; two such texts at the threshold always share one. At most 106 keys a text.
 SHORT = 14
-# A bucket of several classes gets so many times the pivots of the round before.
-MORE_PIVOTS = 4
+# Pivots of a bucket in the first and in the second round.
+PIVOTS = (1, 4)
+# Shingles that come last in the order of rarity, at most; more would only save more pairs.
+COMMON_SHINGLES = 200_000
 
 
 class Shingler:
@@ -85,17 +89,26 @@ def _functions(sketches: int) -> tuple[np.ndarray, np.ndarray]:
             random.integers(1, 1 << 63, sketches, dtype=np.uint64))
 
 
-def order_minhash(shingles: np.ndarray, sketches: int = SKETCHES, least: int = LEAST) -> list[int]:
-    """One key per sketch: the least labelled shingles, in text order."""
+def _labelled(shingles: np.ndarray) -> np.ndarray:
+    """The shingles told apart by how many equal ones stand before them."""
     n = len(shingles)
     if n == 0:
-        return []
+        return shingles
     order = np.argsort(shingles, kind="stable")
     ordered = shingles[order]
     begin = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     nth = np.arange(n) - np.maximum.accumulate(np.where(begin, np.arange(n), 0))
     labelled = np.empty(n, np.uint64)
     labelled[order] = ordered + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return labelled
+
+
+def order_minhash(shingles: np.ndarray, sketches: int = SKETCHES, least: int = LEAST) -> list[int]:
+    """One key per sketch: the least labelled shingles, in text order."""
+    n = len(shingles)
+    if n == 0:
+        return []
+    labelled = _labelled(shingles)
     odd, add = _functions(sketches)
     drawn = _mixed(labelled[None, :] * odd[:, None] + add[:, None])
     if n > least:
@@ -220,9 +233,9 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """node, label of the texts that link to another one."""
     spark = members.sparkSession
     labels = spark.createDataFrame([], "node long, label long")
-    tested = served = None  # stored tables, a part of each round
-    turn = 0
-    while True:
+    tested = spark.createDataFrame([], "a long, b long")
+    served = spark.createDataFrame([], "bucket long, node long")
+    for turn, count in enumerate((*PIVOTS, 0)):
         state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         top = state.groupBy("bucket").agg(
             F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top"),
@@ -230,30 +243,29 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         members = stored(state.join(top.select("bucket", F.col("top.label").alias("main"),
                                                F.col("top.node").alias("top")), "bucket").select(
             "bucket", "node", "n", "score", "label", "main", "top"), "open-buckets")
-        if turn == 0:
-            pivots = members.where("node = top")
+        outside = members.where("label <> main").join(served, ["bucket", "node"], "left_anti")
+        if not count:
+            crowded = members.join(outside.select("bucket").distinct(), "bucket", "left_semi")
+            pairs = rare_pairs(crowded.select("node", "label").distinct(), texts, similarity)
         else:
-            outside = members.where("label <> main").join(served, ["bucket", "node"], "left_anti")
-            pivots = outside.groupBy("bucket", F.pmod(
-                F.xxhash64("node", F.lit(turn)), F.lit(MORE_PIVOTS ** min(turn, 15))).alias("draw")).agg(
-                F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top")).select(
-                "bucket", "top.node", "top.label", "top.n")
-        pivots = stored(pivots.select("bucket", "node", "label", "n"), "pivots")
-        if pivots.isEmpty():
-            break
-        now = pivots.select("bucket", "node")
-        served = now if served is None else served.union(now)
-        p = pivots.select("bucket", F.col("node").alias("pivot"), F.col("label").alias("p_label"),
-                          F.col("n").alias("p_n"))
-        # a pair whose counts of shingles differ too much cannot reach the similarity
-        pairs = members.join(p, "bucket").where(
-            (F.col("label") != F.col("p_label"))
-            & (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n"))).select(
-            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
+            if turn == 0:
+                pivots = members.where("node = top")
+            else:
+                pivots = outside.groupBy("bucket", F.pmod(
+                    F.xxhash64("node", F.lit(turn)), F.lit(count)).alias("draw")).agg(
+                    F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top")).select(
+                    "bucket", "top.node", "top.label", "top.n")
+            pivots = stored(pivots.select("bucket", "node", "label", "n"), "pivots")
+            served = served.union(pivots.select("bucket", "node"))
+            p = pivots.select("bucket", F.col("node").alias("pivot"), F.col("label").alias("p_label"),
+                              F.col("n").alias("p_n"))
+            # a pair whose counts of shingles differ too much cannot reach the similarity
+            pairs = members.join(p, "bucket").where(
+                (F.col("label") != F.col("p_label"))
+                & (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n"))).select(
+                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.union(pairs)
         good = stored(_verified(pairs, texts, similarity), "links")
         if not good.isEmpty():
             # links between the labels so far are enough to go on
@@ -263,10 +275,80 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
             labels = components(mapped.union(old))
         members = members.select("bucket", "node", "n", "score")
-        turn += 1
     return labels
 
 
+def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: pairs of texts in different classes that may be similar, by a prefix join.
+
+    Aligned similarity never exceeds that of the bags of shingles. In any fixed order of all
+    shingles, two bags at the threshold share one of the first n - ceil(similarity n) + 1 of
+    each; with rare shingles first few texts share those. Counts only choose the order, so
+    it does not matter that a task counts for itself what it sees once. A pair also needs
+    lengths that fit, and enough shingles on both sides of the shared one.
+    """
+    own = stored(texts.join(nodes, "node").select("node", "label", "text"), "crowded-texts")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, gathered, waiting = Shingler(), [], 0
+
+        def told() -> pa.RecordBatch:
+            tokens, counts = np.unique(np.concatenate(gathered), return_counts=True)
+            often = counts > 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(tokens[often].view(np.int64)), pa.array(counts[often], pa.int64())], ["token", "seen"])
+
+        for batch in slices(batches, 512, "text"):
+            for text in batch.column("text"):
+                gathered.append(_labelled(shingler(text.as_py())))
+                waiting += len(gathered[-1])
+            if waiting > 1 << 20:
+                yield told()
+                gathered, waiting = [], 0
+        if gathered:
+            yield told()
+
+    seen = own.select("text").mapInArrow(counted, "token long, seen long").groupBy("token").agg(
+        F.sum("seen").alias("seen"))
+    common = np.array(seen.orderBy(F.desc("seen"), "token").limit(COMMON_SHINGLES).collect(), np.int64).reshape(-1, 2)
+    common = common[np.argsort(common[:, 0].view(np.uint64) if len(common) else [])]
+    tokens, often = common[:, 0].copy().view(np.uint64), common[:, 1]
+
+    def offered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in slices(batches, 256, "text"):
+            columns: list[list] = [[], [], [], [], []]
+            for node, label, text in zip(*batch.columns, strict=True):
+                bag = _labelled(shingler(text.as_py()))
+                n, rank = len(bag), np.zeros(len(bag), np.int64)
+                if len(tokens):
+                    at = np.minimum(np.searchsorted(tokens, bag), len(tokens) - 1)
+                    rank = np.where(tokens[at] == bag, often[at], 0)
+                first = n - int(np.ceil(similarity * n - 1e-9)) + 1
+                chosen = bag[np.lexsort((bag, rank))[:first]]
+                for column, values in zip(columns, (
+                        [node.as_py()] * len(chosen), [label.as_py()] * len(chosen), [n] * len(chosen),
+                        chosen.view(np.int64), np.arange(len(chosen))), strict=True):
+                    column.append(np.asarray(values, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in columns],
+                ["node", "label", "n", "token", "place"])
+
+    rows = own.mapInArrow(offered, "node long, label long, n long, token long, place long")
+    rows = stored(rows, "rare-shingles")
+    shared = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    rows = rows.join(shared.select("token"), "token")
+    x, y = (rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "place")])
+            for side in "xy")
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n_x") + F.col("n_y")) - 1e-9)
+    most = F.least("place_x", "place_y") + F.least(
+        F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    return x.join(y, "token").where(
+        (F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y"))
+        & (F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y")) & (most >= need)).select(
+        F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -304,11 +386,13 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     kept = found.groupBy("class").agg(F.min(F.struct("first", "node")).alias("m")).select("m.node")
     keys = found.join(kept, "node").select(*[F.col(c).alias(f"_{c}") for c in TEXT_KEY],
                                            F.col("first").alias("_first"))
+    # The row travels as one column, so no name of its columns can clash.
     text = text_of()
-    own = docs.withColumns({
-        "_k1": F.xxhash64(text), "_k2": F.crc32(text.cast("binary")), "_k3": F.octet_length(text)})
+    own = docs.select(
+        F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_doc_id"),
+        F.xxhash64(text).alias("_k1"), F.crc32(text.cast("binary")).alias("_k2"), F.octet_length(text).alias("_k3"))
     same = ((own["_k1"] == keys["_t1"]) & (own["_k2"] == keys["_t2"]) & (own["_k3"] == keys["_t3"])
-            & own["doc_id"].eqNullSafe(keys["_first"]))
+            & own["_doc_id"].eqNullSafe(keys["_first"]))
     # rows that are repeated with their doc_id count once
     return own.join(keys, same, "left_semi").dropDuplicates(
-        ["doc_id", "_k1", "_k2", "_k3"]).select(*docs.columns)
+        ["_doc_id", "_k1", "_k2", "_k3"]).select("row.*")

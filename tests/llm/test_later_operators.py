@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import common, fim, hardneg, pii
+from clickloom.llm import common, fim, hardneg, near, packing, pii, subwords, warc
 
 
 # Hard negatives --------------------------------------------------------------------------
@@ -277,3 +277,102 @@ def test_disclosing_words(spark):
     flagged = spans.select("doc_id", F.explode("spans").alias("s")).where("s.kind = 'term'").collect()
     assert {(texts[r["doc_id"]][r["s"]["start"]:r["s"]["end"]]) for r in flagged} == {"Quillon", "stoneward"}
     assert len(flagged) == 12
+
+
+# Crowded buckets of near-duplicates ----------------------------------------------------------
+
+def crowded_texts(count, template, own, seed=1):
+    draw = random.Random(seed)
+    line = " ".join(f"t{i}" for i in range(template))
+    return [f"{line} " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(own)) for _ in range(count)]
+
+
+def brute_classes(texts):
+    shingler = near.Shingler()
+    bags, label = [shingler(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if near.aligned(bags[i], bags[j]):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    return {frozenset(i for i, x in enumerate(label) if x == own) for own in set(label)}
+
+
+def test_a_shared_template_brings_no_pairs(spark):
+    common.ship(spark)
+    texts = crowded_texts(200, 60, 40)
+    table = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    nodes = table.select("node", F.col("node").alias("label"))
+    assert near.rare_pairs(nodes, table).count() < 100
+    assert near.rare_pairs(nodes.limit(0), table).count() == 0
+
+
+def test_crowded_buckets_lose_no_link(spark):
+    """One template in all texts; families of edited copies of any size among them."""
+    common.ship(spark)
+    draw = random.Random(7)
+    texts = crowded_texts(80, 70, 25) + crowded_texts(40, 12, 3, seed=2)
+    for source in range(0, 30):
+        words = texts[source].split()
+        for _ in range(draw.randrange(4)):
+            at = draw.randrange(70, len(words))
+            words = words[:at] + [f"e{draw.randrange(10**6)}"] + words[at + draw.randrange(2):]
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in near.near_duplicates(docs).collect():
+        found.setdefault(r["class_id"], set()).add(r["doc_id"])
+    assert {frozenset(v) for v in found.values()} == brute_classes(texts)
+
+
+def test_prefix_join_finds_all_similar_pairs(spark):
+    common.ship(spark)
+    draw, shingler = random.Random(3), near.Shingler()
+    texts = []
+    for _ in range(60):  # few words, so that shingles are shared in every way
+        base = [f"v{draw.randrange(3)}" for _ in range(draw.randrange(4, 40))]
+        for _ in range(4):
+            at = draw.randrange(len(base))
+            base = base[:at] + [f"v{draw.randrange(3)}"] * draw.randrange(3) + base[at + 1:]
+            texts.append(" ".join(base))
+    bags = [shingler(t) for t in texts]
+    similar = {(j, i) for i in range(len(texts)) for j in range(i) if near.aligned(bags[j], bags[i])}
+    table = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    pairs = near.rare_pairs(table.select("node", F.col("node").alias("label")), table)
+    assert similar and similar <= {(r["a"], r["b"]) for r in pairs.collect()}
+
+
+def test_near_duplicates_keep_columns_of_any_name(spark):
+    common.ship(spark)
+    docs = spark.createDataFrame([(1, "a b c d e f", 5, "x"), (2, "a b c d e f", 6, "y")],
+                                 "doc_id long, text string, _k1 long, `_t1` string")
+    assert [tuple(r) for r in near.deduplicated(docs).collect()] == [(1, "a b c d e f", 5, "x")]
+
+
+# Contract of the tokens, archives of several members ------------------------------------------
+
+def test_added_token_in_the_text(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+    reference, own = Tokenizer.from_file(path("byte_bpe_50k.json")), subwords.subwords()
+    for text in ("<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>y z", "<|endoftext|", " <|endoftext|>\n"):
+        ids = np.frombuffer(own.encode(text), np.uint32).tolist()
+        assert ids == reference.encode(text, add_special_tokens=False).ids, text
+    docs = spark.createDataFrame([(1, "one <|endoftext|> two")], "doc_id long, text string")
+    want = len(reference.encode("one <|endoftext|> two", add_special_tokens=False).ids) + 1
+    assert packing.pack(common.ship(spark) and docs).first()["doc_tokens"] == want
+
+
+def test_archive_with_a_gzip_member_per_record(spark, tmp_path):
+    import gzip
+    common.ship(spark)
+    records = []
+    for i in range(3):
+        body = f"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhell{i}".encode()
+        head = (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:{i}>\r\n"
+                f"Content-Length: {len(body)}\r\n\r\n").encode()
+        records.append(head + body + b"\r\n\r\n")
+    (tmp_path / "part-0.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "part-1.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    found = warc.read_records(spark, str(tmp_path), payload=True).collect()
+    assert sorted(bytes(r["payload"]) for r in found) == sorted([b"hell0", b"hell1", b"hell2"] * 2)
