@@ -44,6 +44,8 @@ SHORT = 14
 PIVOTS = (1, 4)
 # Shingles that come last in the order of rarity, at most; more would only save more pairs.
 COMMON_SHINGLES = 200_000
+# 64-bit words of the signature by which a pair is refused before it is made.
+SIGNATURE_WORDS = 16
 
 
 class Shingler:
@@ -285,7 +287,9 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     shingles, two bags at the threshold share one of the first n - ceil(similarity n) + 1 of
     each; with rare shingles first few texts share those. Counts only choose the order, so
     it does not matter that a task counts for itself what it sees once. A pair also needs
-    lengths that fit, and enough shingles on both sides of the shared one.
+    lengths that fit, enough shingles on both sides of the shared one, and signatures that
+    differ in no more bits than shingles may differ: each shingle sets one bit, so one that
+    only one text has changes one bit at most.
     """
     own = stored(texts.join(nodes, "node").select("node", "label", "text"), "crowded-texts")
 
@@ -317,35 +321,41 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     def offered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in slices(batches, 256, "text"):
-            columns: list[list] = [[], [], [], [], []]
-            for node, label, text in zip(*batch.columns, strict=True):
+            sizes, chosen, signatures = [], [], []
+            for text in batch.column("text"):
                 bag = _labelled(shingler(text.as_py()))
                 n, rank = len(bag), np.zeros(len(bag), np.int64)
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, bag), len(tokens) - 1)
                     rank = np.where(tokens[at] == bag, often[at], 0)
                 first = n - int(np.ceil(similarity * n - 1e-9)) + 1
-                chosen = bag[np.lexsort((bag, rank))[:first]]
-                for column, values in zip(columns, (
-                        [node.as_py()] * len(chosen), [label.as_py()] * len(chosen), [n] * len(chosen),
-                        chosen.view(np.int64), np.arange(len(chosen))), strict=True):
-                    column.append(np.asarray(values, np.int64))
+                bits = np.zeros(64 * SIGNATURE_WORDS, np.uint8)
+                bits[bag % np.uint64(len(bits))] = 1
+                sizes.append(n)
+                chosen.append(bag[np.lexsort((bag, rank))[:first]].view(np.int64).tolist())
+                signatures.append(np.packbits(bits).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in columns],
-                ["node", "label", "n", "token", "place"])
+                [batch.column("node"), batch.column("label"), pa.array(sizes, pa.int64()),
+                 pa.array(chosen, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int64()))],
+                ["node", "label", "n", "tokens", "bits"])
 
-    rows = own.mapInArrow(offered, "node long, label long, n long, token long, place long")
-    rows = stored(rows, "rare-shingles")
+    bags = stored(own.mapInArrow(
+        offered, "node long, label long, n long, tokens array<long>, bits array<long>"), "rare-shingles")
+    rows = bags.select("node", "label", "n", F.posexplode("tokens").alias("place", "token"))
     shared = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rows = rows.join(shared.select("token"), "token")
-    x, y = (rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "place")])
+    rows = rows.join(shared.select("token"), "token").join(bags.select("node", "bits"), "node")
+    x, y = (rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "n", "place", "bits")])
             for side in "xy")
-    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n_x") + F.col("n_y")) - 1e-9)
+    both = F.col("n_x") + F.col("n_y")
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * both - 1e-9)
     most = F.least("place_x", "place_y") + F.least(
         F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    differ = sum((F.bit_count(F.get("bits_x", F.lit(i)).bitwiseXOR(F.get("bits_y", F.lit(i))))
+                  for i in range(SIGNATURE_WORDS)), F.lit(0))
     return x.join(y, "token").where(
         (F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y"))
-        & (F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y")) & (most >= need)).select(
+        & (F.least("n_x", "n_y") >= similarity * F.greatest("n_x", "n_y")) & (most >= need)
+        & (differ <= both - 2 * need)).select(
         F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
