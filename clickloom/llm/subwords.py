@@ -11,6 +11,8 @@ from functools import cache
 # piece of the vocabulary's own pre-tokenizer, so such texts may be cut there.
 _UNSAFE = re.compile(r"\s \s|  | \Z")
 CACHED_WORDS = 150_000
+# Fixed value: the token that the vocabulary's file adds to its ranks, found in any text.
+ADDED = "<|endoftext|>"
 
 
 class Subwords:
@@ -23,10 +25,13 @@ class Subwords:
             ranks = {base64.b64decode(t): int(i) for t, i in (line.split() for line in lines)}
         self._encode = tiktoken.Encoding(
             "own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._added = array("I", [len(ranks)]).tobytes()
         self.tokens = {i: t for t, i in ranks.items()}
         self._known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        if ADDED in text:
+            return self._added.join(self.encode(part) if part else b"" for part in text.split(ADDED))
         if _UNSAFE.search(text):
             return array("I", self._encode(text)).tobytes()
         first, *words = text.split(" ")

@@ -146,6 +146,16 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, data[begin:at]
 
 
+def _unzipped(data: bytes) -> bytes:
+    """All members of a gzip file, one per record or one for all; other files as they are."""
+    parts = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        parts.append(member.decompress(data))
+        data = member.unused_data
+    return b"".join([*parts, data])
+
+
 def read_records(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """One row per record of the archives below ``path``; payloads only on request."""
 
@@ -153,8 +163,7 @@ def read_records(spark: SparkSession, path: str, payload: bool = False) -> DataF
         for batch in batches:
             for content in batch.column("content"):
                 data = content.as_buffer()
-                data = zlib.decompressobj(31).decompress(data) if data[:2] == b"\x1f\x8b" \
-                    else data.to_pybytes()
+                data = _unzipped(data.to_pybytes())
                 rows: list[tuple] = []
                 size = 0
                 for headers, block in parse_records(data):
