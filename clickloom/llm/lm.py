@@ -1,14 +1,19 @@
 """Language-model scores: a causal self-attention model over subword ids, in numpy.
 
-Counts cover the whole training part of the corpus: words for the base score, and pairs of
-subword ids inside words. The attention model predicts the class of the next id from the
-window before it; the pair counts give the id within its class. Inside the most frequent
-words the counts of their beginnings are mixed in, backed off to the attention model. Its
-weights are fitted by Adam on a bounded sample of training documents.
+Counts cover the whole training part of the corpus: words, and pairs of subword ids inside
+words. The attention model predicts the class of the next id from the window before it; the
+pair counts give the id within its class. Inside the most frequent words the counts of their
+beginnings are mixed in, backed off to the attention model. The probabilities of all ids that
+may come next, and of the end, add up to one.
+
+The attention weights are fitted on every window of every training document, in rounds: each
+partition runs Adam over its share from the same weights, and the results are averaged by
+their windows, so the work grows with the corpus and the driver sees one set of weights.
 
 Every text is read once, in overlapping windows: each id is scored in exactly one window,
-with the ids before it in that window as context. Words outside a bounded dictionary are
-looked up by a join.
+with the ids before it in that window as context. At last a word's probability is mixed with
+its share in the corpus, which all distinct words of the training part have; words outside a
+bounded dictionary are looked up by a join.
 """
 
 from __future__ import annotations
@@ -17,6 +22,8 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +35,13 @@ from clickloom.llm.subwords import subwords
 
 DICTIONARY = 100_000  # the most frequent words, which every task holds
 FLUSH_WORDS = 300_000  # distinct words that a counting task holds at once
-KEPT_IDS = 1023  # the most frequent subword ids; all others share one place
-OTHER, END, BOUNDARY, BEGIN = KEPT_IDS, KEPT_IDS + 1, KEPT_IDS + 1, KEPT_IDS + 1
+KEPT_IDS = 1022  # the most frequent subword ids; the others share a place, those that open words another
+OTHER, OPENER, END, BOUNDARY, BEGIN = KEPT_IDS, KEPT_IDS + 1, KEPT_IDS + 2, KEPT_IDS + 2, KEPT_IDS + 2
+PLACES = KEPT_IDS + 2
 CLASSES, OPENING, WIDTH = 48, 42, 16
-WINDOW, OVERLAP = 16, 4
-SAMPLE_DOCS, STEPS, BATCH = 600, 900, 192
+WINDOW, OVERLAP = 64, 32
+ROUNDS, RATE, BATCH = 4, 0.02, 32
+SHARE = 0.4  # of a word's share in the corpus in its probability
 SMOOTHING = 0.1
 TRUST = 20.0  # the count that the attention model is worth against a word's beginnings
 
@@ -70,10 +79,16 @@ class Coder:
     def __init__(self, tokenizer: str) -> None:
         self.encode = subwords(tokenizer)._encode
 
-    def ids(self, word: bytes) -> bytes:
+    def __call__(self, word: bytes) -> bytes:
         return np.array(self.encode(" " + word.decode()), np.uint16).tobytes()
 
 
+@lru_cache(1)
+def cached_ids(tokenizer: str):
+    """Subword ids of a word, kept for the tasks of a Python worker."""
+    return lru_cache(200_000)(Coder(tokenizer))
+
+
 class Beginnings:
     """Counts of words by the ids they begin with, for the beginnings of frequent words."""
 
@@ -81,7 +96,7 @@ class Beginnings:
         self.coder = Coder(tokenizer)
         self.ends: dict[bytes, int] = {}
         for word, c in frequent.items():
-            ids = self.coder.ids(word)
+            ids = self.coder(word)
             self.ends[ids] = self.ends.get(ids, 0) + c
         self.all = sorted({ids[:at] for ids in self.ends for at in range(2, len(ids) + 1, 2)})
         self.number = {beginning: i for i, beginning in enumerate(self.all)}
@@ -114,7 +129,7 @@ class Beginnings:
         for word in words:
             found = known.get(word)
             if found is None:
-                b = self.coder.ids(word)
+                b = self.coder(word)
                 seen = []
                 for at in range(2, len(b) + 1, 2):
                     more = self.ends.get(b, 0) if at == len(b) else self.total.get(b[:at + 2], 0)
@@ -144,7 +159,7 @@ class Model:
 def pair_counts(counts: DataFrame, place: np.ndarray, beginnings: Beginnings,
                 tokenizer: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of pairs of places inside words, of ids, and of beginnings, over all words."""
-    places = KEPT_IDS + 1
+    places = PLACES
     shared = counts.sparkSession.sparkContext.broadcast(beginnings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +168,7 @@ def pair_counts(counts: DataFrame, place: np.ndarray, beginnings: Beginnings,
         single = np.zeros(len(place))
         totals = np.zeros(len(shared.value.all))
         for batch in slices(batches, 50_000):
-            raw = [coder.ids(word) for word in batch.column("word").to_pylist()]
+            raw = [coder(word) for word in batch.column("word").to_pylist()]
             totals += shared.value.count(raw, batch.column("c").to_pylist())
             coded = [np.frombuffer(ids, np.uint16) for ids in raw]
             sizes = np.array([len(x) for x in coded])
@@ -206,10 +221,13 @@ def embeddings_of(pairs: np.ndarray) -> np.ndarray:
     return (u[:, :WIDTH] * s[:WIDTH]).astype(np.float64)
 
 
-def pair_table(pairs: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """log10 P(place | class of the place, place before), backed off to the class."""
+def pair_table(pairs: np.ndarray, kind: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """log10 P(place | class of the place, place before), backed off to the class.
+
+    Places that no id has are left next to nothing.
+    """
     places = pairs.shape[1]
-    total = pairs.sum(axis=0) + SMOOTHING
+    total = pairs.sum(axis=0) + SMOOTHING * used + 1e-12
     belongs = np.zeros((places, CLASSES))
     belongs[np.arange(places), kind[:places]] = 1
     single = total / (belongs.T @ total)[kind[:places]]
@@ -222,7 +240,7 @@ def pair_table(pairs: np.ndarray, kind: np.ndarray) -> np.ndarray:
 
 def initial_weights(embedded: np.ndarray, kind: np.ndarray) -> dict[str, np.ndarray]:
     random = np.random.default_rng(3)
-    table = np.zeros((KEPT_IDS + 2, WIDTH))
+    table = np.zeros((PLACES + 1, WIDTH))
     table[:len(embedded)] = embedded * 2
     draw = lambda *shape: random.normal(0, 1 / math.sqrt(shape[0]), shape)
     return {"embed": table, "place": random.normal(0, 0.05, (WINDOW, WIDTH)),
@@ -272,8 +290,8 @@ def gradients(w: dict[str, np.ndarray], at: np.ndarray, target: np.ndarray, coun
     g["qkv"] = flat(x).T @ flat(dqkv)
     dx = dh + dqkv @ w["qkv"].T
     g["place"] = dx.sum(axis=0)
-    g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], at, dx)
+    cells = at.reshape(-1, 1) * dx.shape[-1] + np.arange(dx.shape[-1])
+    g["embed"] = np.bincount(cells.ravel(), dx.ravel(), w["embed"].size).reshape(w["embed"].shape).astype(dx.dtype)
     return loss, g
 
 
@@ -316,29 +334,81 @@ def _batches(sizes: np.ndarray, batch: int):
         yield np.minimum(position, ends[at:at + batch, None] - 1), counted
 
 
-def fit(w: dict[str, np.ndarray], place: np.ndarray, kind: np.ndarray, texts: list[np.ndarray],
-        steps: int = STEPS) -> dict[str, np.ndarray]:
-    if not texts:
-        return w
-    sizes, inputs, targets = _laid_out(place, texts)
-    made = list(_batches(sizes, 1 << 30))[0]
-    position, counted = made
-    random = np.random.default_rng(9)
-    first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    for step in range(1, steps + 1):
-        some = random.integers(0, len(position), min(BATCH, len(position)))
-        at = position[some]
-        _, g = gradients(w, inputs[at], kind[targets[at]], counted[some].astype(float))
-        rate = 0.02 * min(1.0, step / 20) * (1 - step / (steps + 1))
-        for name in w:
-            first[name] = 0.9 * first[name] + 0.1 * g[name]
-            second[name] = 0.98 * second[name] + 0.02 * g[name] ** 2
-            w[name] -= rate * first[name] / (1 - 0.9 ** step) / (np.sqrt(second[name] / (1 - 0.98 ** step)) + 1e-8)
+class Trainer:
+    """Adam over the windows of one partition, from given weights."""
+
+    def __init__(self, weights: dict[str, np.ndarray], rate: float) -> None:
+        self.w = {k: v.astype(np.float32) for k, v in weights.items()}
+        self.rate, self.steps, self.windows = rate, 0, 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+        self.random = np.random.default_rng(9)
+
+    def read(self, place: np.ndarray, kind: np.ndarray, texts: list[np.ndarray]) -> None:
+        """One pass over all windows of the texts, which follow each other without overlap."""
+        sizes, inputs, targets = _laid_out(place, texts)
+        counts = -(-sizes // WINDOW)
+        ends = np.repeat(np.cumsum(sizes), counts)
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        position = (np.repeat(np.cumsum(sizes) - sizes, counts) + nth * WINDOW)[:, None] + np.arange(WINDOW)
+        order = self.random.permutation(len(position))
+        for at in range(0, len(order), BATCH):
+            some = order[at:at + BATCH]
+            last = ends[some, None]
+            cells = np.minimum(position[some], last - 1)
+            counted = (position[some] < last).astype(np.float32)
+            self.step(gradients(self.w, inputs[cells], kind[targets[cells]], counted)[1])
+        self.windows += len(position)
+
+    def step(self, g: dict[str, np.ndarray]) -> None:
+        self.steps += 1
+        n, rate = self.steps, self.rate * min(1.0, self.steps / 20)
+        for name, w in self.w.items():
+            first, second = self.first[name], self.second[name]
+            first += np.float32(0.1) * (g[name] - first)
+            second += np.float32(0.02) * (g[name] ** 2 - second)
+            w -= np.float32(rate / (1 - 0.9 ** n)) * first / (np.sqrt(second / np.float32(1 - 0.98 ** n)) + np.float32(1e-8))
+
+
+def fit(w: dict[str, np.ndarray], place: np.ndarray, kind: np.ndarray, train: DataFrame,
+        tokenizer: str) -> dict[str, np.ndarray]:
+    """Weights after ``ROUNDS`` rounds, which together read every window of ``train`` once.
+
+    A round reads the documents that a hash assigns to it; its partitions' weights are
+    averaged by their windows. Without documents the weights stay as they are.
+    """
+    shapes = {name: v.shape for name, v in w.items()}
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    for number in range(ROUNDS):
+        shared = train.sparkSession.sparkContext.broadcast((w, place, kind))
+        rate = RATE * (1 - number / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate) -> Iterator[pa.RecordBatch]:
+            start, place, kind = shared.value
+            trainer, ids = Trainer(start, rate), cached_ids(tokenizer)
+            for batch in slices(batches, 512, "text", 1 << 20):
+                trainer.read(place, kind, [np.frombuffer(b"".join(map(ids, words_of(t.as_py()))), np.uint16)
+                                           for t in batch.column("text")])
+            if trainer.windows:
+                flat = np.concatenate([trainer.w[name].ravel() for name in shapes]).astype(float)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat, 1.0) * trainer.windows)], ["at", "v"])
+
+        # One row per weight, and one for the number of windows, whatever the corpus.
+        rows = train.where(part == number).select("text").mapInArrow(run, "at long, v double").groupBy(
+            "at").agg(F.sum("v").alias("v")).orderBy("at").toArrow()
+        if rows.num_rows:
+            flat = rows.column("v").to_numpy()
+            flat, at, w = flat[:-1] / flat[-1], 0, {}
+            for name, shape in shapes.items():
+                size = math.prod(shape)
+                w[name] = flat[at:at + size].reshape(shape)
+                at += size
     return w
 
 
-def score_texts(model: Model, texts: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
-    """log10 probability of each text, its end included."""
+def position_logs(model: Model, texts: list[np.ndarray], counts: list[np.ndarray]) -> tuple:
+    """Sizes of the texts in positions, whether a position opens a word (or is the end), and natural
+    logs: of a position's id, given that a word opens there or goes on, and of a word's opening there."""
     sizes, inputs, targets = _laid_out(model.place, texts)
     n = len(inputs)
     before, extra = np.full(n, BOUNDARY), np.zeros(n, np.float32)
@@ -350,59 +420,81 @@ def score_texts(model: Model, texts: list[np.ndarray], counts: list[np.ndarray])
         seen[at + 1:at + size] = c
         at += size
     before[~opens] = inputs[~opens]
-    pair = model.pair[before, targets] * np.float32(math.log(10))
+    within = model.pair[before, targets] * np.float32(math.log(10)) + extra * np.float32(math.log(10))
     kinds = model.kind[targets]
-    out = np.zeros(n, np.float32)
-    for position, counted in _batches(sizes, 1024):
+    picked, opening = np.empty(n, np.float32), np.empty(n, np.float32)
+    for position, counted in _batches(sizes, 64):
         some = position[counted]
         logits = attend(model.weights, inputs[position])[-1][counted] @ model.weights["c"]
         logits += model.weights["bc"]
         np.clip(logits, -60, 60, out=logits)
         np.exp(logits, out=logits)
         every = logits.sum(axis=1)
-        picked = logits[np.arange(len(some)), kinds[some]] / every
-        opening = logits[:, :OPENING].sum(axis=1) / every
-        total, more, rest = seen[some].T
-        rest = np.maximum(rest, 0) + TRUST
-        # what opens a word shares the count of the words that end here by the model alone
-        inside = (more + rest * picked * np.exp(pair[some])) / (total + TRUST)
-        outside = (more + rest * opening) / (total + TRUST) * picked / opening * np.exp(pair[some])
-        out[some] = np.where(opens[some], outside, inside)
-    logs = np.log10(np.maximum(out, 1e-30)).astype(np.float64) + extra
-    return np.add.reduceat(logs, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-
-
-def learn(train: DataFrame, counts: DataFrame, frequent: dict[bytes, int], n_docs: int, tokenizer: str) -> Model:
+        picked[some] = logits[np.arange(len(some)), kinds[some]] / every
+        opening[some] = logits[:, :OPENING].sum(axis=1) / every
+    total, more, rest = seen.T
+    rest = np.maximum(rest, 0) + np.float32(TRUST)
+    # what opens a word shares the count of the words that end here by the model alone
+    chosen = np.log(np.maximum(picked / np.maximum(opening, 1e-30), 1e-30)) + within
+    inner = np.log(np.maximum((more + rest * picked * np.exp(within)) / (total + np.float32(TRUST)), 1e-30))
+    begun = np.log(np.maximum((more + rest * opening) / (total + np.float32(TRUST)), 1e-30))
+    return sizes, opens, np.where(opens, chosen, inner), np.where(opens, begun, 0)
+
+
+def score_texts(model: Model, texts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 probability of each word and end by the subword model, the number of them in each
+    text, and log10 of the probability that a text begins with a word or ends."""
+    sizes, opens, ids, begun = (x.astype(np.float64) if x.dtype == np.float32 else x
+                                for x in position_logs(model, texts, counts))
+    starts = np.flatnonzero(opens)
+    words = np.add.reduceat(ids, starts)
+    last = np.searchsorted(starts, np.cumsum(sizes) - 1)  # the ends of the texts
+    closed = np.append(begun[starts[1:]], 0.0)  # a word is over where the next one opens
+    closed[last] = 0.0
+    log10 = 1 / math.log(10)
+    return (words + closed) * log10, np.diff(last, prepend=-1), begun[np.cumsum(sizes) - sizes] * log10
+
+
+def mixed(by_model: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """log10 of the mixture of a word's probability with its share in the corpus."""
+    with np.errstate(divide="ignore"):
+        return np.logaddexp((by_model + math.log10(1 - SHARE)) * math.log(10),
+                            np.log(SHARE * share)) / math.log(10)
+
+
+def learn(train: DataFrame, counts: DataFrame, frequent: dict[bytes, int], tokenizer: str) -> Model:
     coder = Coder(tokenizer)
     size = 50_257
     common = np.zeros(size)
     for word, c in frequent.items():
-        np.add.at(common, np.frombuffer(coder.ids(word), np.uint16), c)
-    place = np.full(size, OTHER)
+        np.add.at(common, np.frombuffer(coder(word), np.uint16), c)
+    tokens = subwords(tokenizer).tokens
+    opens = np.array([tokens.get(i, b"").startswith(b" ") for i in range(size)])
+    place = np.where(opens, OPENER, OTHER)
     kept = [i for i in np.argsort(-common, kind="stable")[:KEPT_IDS].tolist() if common[i] > 0]
     place[kept] = np.arange(len(kept))
     beginnings = Beginnings(frequent, tokenizer)
     pairs, single, totals = pair_counts(counts, place, beginnings, tokenizer)
-    tokens = subwords(tokenizer).tokens
-    opens = np.array([tokens.get(i, b"").startswith(b" ") for i in range(size)])
-    rest = np.where(place == OTHER, single + SMOOTHING, 0.0)
-    inside = np.where(place == OTHER, np.log10(np.maximum(rest, 1e-300) / max(rest.sum(), 1e-300)), 0.0)
+    inside = np.zeros(size)
+    for shared in (OTHER, OPENER):
+        mine = place == shared
+        inside[mine] = np.log10((single[mine] + SMOOTHING) / (single[mine] + SMOOTHING).sum())
     embedded = embeddings_of(pairs)
-    at_place = np.zeros(KEPT_IDS + 1, bool)
-    at_place[:len(kept)] = opens[kept]
+    used = np.isin(np.arange(PLACES), place)
+    at_place = np.zeros(PLACES, bool)
+    at_place[place] = opens  # kept ids have places of their own, rare ones do not mix
     kind = classes_of(pairs, embedded, at_place)
-    share = F.lit(int(min(1.0, SAMPLE_DOCS / max(1, n_docs)) * (1 << 30)))
-    sample = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share).select("text").collect()
-    texts = [np.frombuffer(b"".join(map(coder.ids, words_of(t))), np.uint16) for t in sorted(r["text"] for r in sample)]
-    weights = fit(initial_weights(embedded, kind), place, kind, texts)
-    return Model(place, inside.astype(np.float32), opens, pair_table(pairs, kind), kind,
+    weights = fit(initial_weights(embedded, kind), place, kind, train, tokenizer)
+    # a class without ids has no share
+    weights["bc"] = np.where(np.isin(np.arange(CLASSES), kind[np.append(used, True)]), weights["bc"], -1e4)
+    return Model(place, inside.astype(np.float32), opens, pair_table(pairs, kind, used), kind,
                  {k: v.astype(np.float32) for k, v in weights.items()}, totals)
 
 
 _loaded: dict[int, tuple] = {}
 
 
-def _prepared(shared, tokenizer: str, below: float) -> tuple:
+def _prepared(shared, tokenizer: str) -> tuple:
     """What a Python worker needs of the broadcast, built once for all its tasks."""
     key = shared._id if hasattr(shared, "_id") else id(shared)
     if key not in _loaded:
@@ -410,8 +502,7 @@ def _prepared(shared, tokenizer: str, below: float) -> tuple:
         _loaded.clear()
         beginnings = Beginnings(frequent, tokenizer)
         beginnings.settle(model.totals)
-        _loaded[key] = (beginnings, model,
-                        {w: math.log10(c + SMOOTHING) - below for w, c in frequent.items()})
+        _loaded[key] = (beginnings, model, frequent)
     return _loaded[key]
 
 
@@ -434,51 +525,60 @@ def score(docs: DataFrame, tokenizer: str = "byte_bpe_50k", dictionary: int = DI
     frequent = {bytes(r["word"]): r["c"] for r in
                 counts.orderBy(F.col("c").desc(), "word").limit(dictionary).collect()}
     least = min(frequent.values()) if len(frequent) == dictionary else 0
-    model = learn(train, counts, frequent, n_docs, tokenizer)
+    model = learn(train, counts, frequent, tokenizer)
     below = math.log10(total + SMOOTHING * (kinds + 1))
     shared = spark.sparkContext.broadcast((frequent, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        beginnings, model, logs = _prepared(shared, tokenizer, below)
+        beginnings, model, frequent = _prepared(shared, tokenizer)
         end = math.log10(n_docs + SMOOTHING) - below
         for batch in slices(batches, 512, "text", 1 << 20):
-            out: list[list] = [[] for _ in range(5)]
-            texts, seen = [], []
+            out: list[list] = [[] for _ in range(6)]
+            texts, seen, every = [], [], []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
                 ids, c = beginnings(words)
                 texts.append(ids)
                 seen.append(c)
-                base, known, rare, times = end, int(n_docs > 0), [], []
-                for word, n in Counter(words).items():
-                    value = logs.get(word)
-                    if value is None:
-                        rare.append(word)
-                        times.append(n)
-                    else:
-                        base += n * value
-                        known += n
-                for column, value in zip(out, (len(words) + 1, known, base, rare, times), strict=True):
+                every.append(words)
+            by_model, sizes, begun = score_texts(model, texts, seen)
+            at = 0
+            for words, size, first in zip(every, sizes.tolist(), begun.tolist(), strict=True):
+                c = np.array([*map(frequent.get, words, repeat(0)), n_docs], float)
+                mine = by_model[at:at + size]
+                at += size
+                known = c > 0
+                known[-1] = True
+                rare = np.flatnonzero(~known)
+                values = (size, int((c > 0).sum()), end + (np.log10(c[:-1][known[:-1]] + SMOOTHING) - below).sum(),
+                          [words[i] for i in rare.tolist()], mine[rare],
+                          first + mixed(mine[known], c[known] / max(1, total)).sum())
+                for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.float64()), pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"),
-                 *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
-                 pa.array(score_texts(model, texts, seen), pa.float64())],
-                ["doc_id", "held_out", "n_tokens", "known", "base", "rare", "times", "score"])
+                 *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)]],
+                ["doc_id", "held_out", "n_tokens", "known", "base", "rare", "by_model", "score"])
 
     read = rows.mapInArrow(
         run, f"doc_id {doc_type}, held_out boolean, n_tokens long, known long, base double, "
-             "rare array<binary>, times array<long>, score double")
+             "rare array<binary>, by_model array<double>, score double")
     numbered = stored(read.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = numbered.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
-        "row", F.col("r.rare").alias("word"), F.col("r.times").alias("n"))
+    rare = numbered.select("row", F.explode(F.arrays_zip("rare", "by_model")).alias("r")).select(
+        "row", F.col("r.rare").alias("word"), F.col("r.by_model").alias("by_model"))
     found = rare.join(counts.where(F.col("c") <= least) if least else counts, "word", "left")
     log = F.log10(F.coalesce("c", F.lit(0)) + SMOOTHING) - below
+    # both parts of the mixture as logs, as a long word's probability is less than a double holds
+    model_part, share_part = F.col("by_model") + math.log10(1 - SHARE), F.log10(F.col("c") * (SHARE / max(1, total)))
+    larger = F.greatest(model_part, share_part)
+    mix = F.when(F.col("c").isNull(), model_part).otherwise(
+        larger + F.log10(1 + F.pow(F.lit(10.0), F.least(model_part, share_part) - larger)))
     sums = found.groupBy("row").agg(
-        F.sum(F.col("n") * log).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("more_known"))
-    return numbered.drop("rare", "times").join(sums, "row", "left").select(
+        F.sum(log).alias("more"), F.count("c").alias("more_known"), F.sum(mix).alias("more_score"))
+    return numbered.drop("rare", "by_model").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))

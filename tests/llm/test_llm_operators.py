@@ -322,10 +322,65 @@ def test_language_model(spark, odd):
     assert lm.score(docs.limit(0)).count() == 0
 
 
+def test_next_ids_and_words_share_one(spark):
+    common.ship(spark)
+    known = words(1, 90, 60) + ["once", "onceagain", "é漢"]
+    docs = spark.createDataFrame([(i, " ".join(random.Random(i).choices(known, k=70))) for i in range(300)],
+                                 "doc_id long, text string")
+    train = docs.where(common.fold_remainder(F.col("doc_id"), 10) != 0)
+    counts = lm.word_counts(train)
+    all_counts = {bytes(r["word"]): r["c"] for r in counts.collect()}
+    frequent = dict(sorted(all_counts.items(), key=lambda x: (-x[1], x[0]))[:25])
+    model = lm.learn(train, counts, frequent, "byte_bpe_50k")
+    beginnings = lm.Beginnings(frequent, "byte_bpe_50k")
+    beginnings.settle(model.totals)
+    for context in ([], known[:1], known[:5], known * 2, ["onceag"], ["unseen", "x" * 90]):
+        context = [w.encode() for w in context]
+        ids, seen = beginnings(context)
+        word = beginnings.coder(context[-1]) if context else b""
+        places = np.arange(len(model.place))
+        # every id behind the context, and the end; which of them continue the word is told apart
+        more = np.array([beginnings.ends.get(word, 0) if o else beginnings.total.get(word + np.uint16(y).tobytes(), 0)
+                         for y, o in zip(places, model.opens, strict=True)], np.float32)
+        share = 0.0
+        for at in range(0, len(places), 2000):
+            some = places[at:at + 2000]
+            texts = [np.append(ids, np.uint16(y)) for y in some]
+            counts_behind = []
+            for m in more[at:at + 2000]:
+                c = np.concatenate([seen, np.zeros((1, 3), np.float32)])
+                if len(ids):
+                    c[len(ids) - 1, 1] = m
+                counts_behind.append(c)
+            sizes, _, chosen, begun = lm.position_logs(model, texts, counts_behind)
+            here = np.cumsum(sizes) - 2
+            share += np.exp((chosen + begun)[here].astype(float)).sum()
+        sizes, _, chosen, begun = lm.position_logs(model, [ids], [seen])
+        share += math.exp(chosen[-1] + begun[-1])
+        assert abs(share - 1) < 1e-4
+    # scores of whole texts, word by word
+    n = sum(all_counts.values()) + train.count()
+    for row in lm.score(docs, dictionary=25).where("doc_id < 40").collect():
+        text = " ".join(random.Random(row["doc_id"]).choices(known, k=70))
+        by_model, _, begun = lm.score_texts(model, *[[x] for x in beginnings(lm.words_of(text))])
+        share = [all_counts.get(w, 0) / n for w in lm.words_of(text)] + [train.count() / n]
+        expected = begun[0] + sum(math.log10(0.6 * 10 ** m + 0.4 * s) for m, s in zip(by_model, share, strict=True))
+        assert abs(row["score"] - expected) < 1e-3 * abs(expected)
+
+
+def test_every_training_window_is_read_once():
+    kind = np.zeros(lm.PLACES + 1, np.int64)
+    trainer = lm.Trainer(lm.initial_weights(np.zeros((lm.PLACES, lm.WIDTH)), kind), 0.01)
+    seen = []
+    trainer.step = lambda g: seen.append(g)
+    trainer.read(np.arange(50_257) % lm.PLACES, kind, [np.arange(n, dtype=np.uint16) for n in (0, 1, 63, 64, 500)])
+    assert trainer.windows == 1 + 1 + 1 + 2 + 8 and seen
+
+
 def test_language_model_gradients():
     random_ = np.random.default_rng(1)
-    kind = np.append(random_.integers(0, lm.CLASSES, lm.KEPT_IDS + 1), 0)
-    w = lm.initial_weights(random_.normal(size=(lm.KEPT_IDS + 1, lm.WIDTH)), kind)
+    kind = np.append(random_.integers(0, lm.CLASSES, lm.PLACES), 0)
+    w = lm.initial_weights(random_.normal(size=(lm.PLACES, lm.WIDTH)), kind)
     at = random_.integers(0, lm.KEPT_IDS, (3, lm.WINDOW))
     target, counted = random_.integers(0, lm.CLASSES, at.shape), np.ones(at.shape)
     _, g = lm.gradients(w, at, target, counted)
@@ -341,7 +396,7 @@ def test_language_model_gradients():
 
 
 def test_windows_score_each_position_once():
-    for size in (1, 5, 15, 16, 17, 28, 100):
+    for size in (1, 5, 63, 64, 65, 96, 97, 300):
         sizes = np.array([size, 3])
         found = np.concatenate([p[c] for p, c in lm._batches(sizes, 4)])
         assert sorted(found.tolist()) == list(range(size + 3))
