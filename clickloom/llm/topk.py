@@ -4,8 +4,9 @@ The dimensions are cut into slices that act as the nodes of the threshold algori
 holds one list of partial scores per query. Phase 1 gathers the first k of every list,
 resolves those rows and gives each query a cutoff that k rows reach. Phase 2 takes the
 entries of which some partial score reaches the cutoff divided by the number of lists; no
-other row can reach it, since its partial scores add up to less. Phase 3 sums the partial
-scores of those entries and keeps the exact best.
+other row can reach it, since its partial scores add up to less. Phase 3 forms the totals of
+those entries alone and keeps the exact best. Partial scores are formed for every query and
+row, in both passes; totals only for the heads of the lists and the entries sent.
 
 Queries meet candidates in blocks: a key of both block numbers joins one block of each, so
 no task holds more than two blocks.
@@ -69,19 +70,31 @@ def _local_cutoffs(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     for at in range(0, len(q), QUERIES_AT_ONCE):
         block = q[at:at + QUERIES_AT_ONCE]
         lists = _partial_scores(block, c)
-        total = sum(lists)
-        heads = np.zeros(total.shape, bool)
-        for scores in lists:
-            first = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-            np.put_along_axis(heads, first, True, axis=1)
-        heads &= c_row[None, :] != q_row[at:at + len(block), None]
+        heads = np.sort(np.concatenate(
+            [np.argpartition(-scores, take - 1, axis=1)[:, :take] for scores in lists], axis=1), axis=1)
+        fresh = c_row[heads] != q_row[at:at + len(block), None]
+        fresh[:, 1:] &= heads[:, 1:] != heads[:, :-1]
+        total = sum(np.take_along_axis(scores, heads, axis=1) for scores in lists)
         for i in range(len(block)):
-            found = total[i, heads[i]]
+            found = total[i, fresh[i]]
             if len(found) >= k:
                 bounds[at + i] = int(np.partition(found, len(found) - k)[len(found) - k])
     return pa.table({"row": queries.column("row"), "bound": pa.array(bounds.tolist(), pa.int64())})
 
 
+def _sent(lists: list[np.ndarray], cutoff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phase 2: the entries (query, candidate) that some list alone sends.
+
+    A total that reaches the cutoff has a partial score of at least the cutoff's share. The
+    share is taken a little lower, as a cutoff above 2**53 is rounded.
+    """
+    share = (cutoff - np.where(np.isfinite(cutoff), np.abs(cutoff), 0) * 1e-12)[:, None] / len(lists)
+    sent = np.zeros(lists[0].shape, bool)
+    for partial in lists:
+        sent |= partial >= share
+    return np.nonzero(sent)
+
+
 def _resolved(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     """Phases 2 and 3: entries that reach the cutoff in some list, then their exact scores."""
     q, c = _matrix(queries), _matrix(candidates)
@@ -95,15 +108,10 @@ def _resolved(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     for at in range(0, len(q), QUERIES_AT_ONCE):
         block = q[at:at + QUERIES_AT_ONCE]
         lists = _partial_scores(block, c)
-        limit = cut[at:at + len(block), None]
-        sent = np.zeros(lists[0].shape, bool)
-        for partial in lists:
-            sent |= partial >= limit / len(lists)
-        total = sum(lists)
-        sent &= total >= limit
-        sent &= c_row[None, :] != q_row[at:at + len(block), None]
-        i, j = np.nonzero(sent)
-        score = total[i, j].astype(np.int64)
+        i, j = _sent(lists, cut[at:at + len(block)])
+        other = c_row[j] != q_row[at + i]
+        i, j = i[other], j[other]
+        score = sum(partial[i, j] for partial in lists).astype(np.int64)
         order = np.lexsort((ids[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)
