@@ -3,7 +3,9 @@
 A lexical transducer turns words into insults, threats, targets, negations and reporting
 verbs; a scope transducer weakens what is denied or reported; a clause transducer weighs
 insults and threats by the targets around them. The last two are composed into one machine
-that runs over each clause with an insult or a threat. The insult lexicon (words and word
+that runs over each clause with an insult or a threat. A report reaches over a colon and a
+closing quotation mark; a second machine reads the clause backwards, for reporting verbs
+behind the speech ("you scum, he said"). The insult lexicon (words and word
 stems) is learned from a bounded sample of labelled rows; a logistic curve turns the sum
 over clauses into a probability.
 """
@@ -40,7 +42,9 @@ REPORTS = "said says wrote quoted reported claimed alleged sagte schrieb bericht
 SEED_WEIGHT = 4.0
 
 WORD = re.compile(r"\w+")
-CLAUSE = re.compile(r"[.!?;:\n|]+")
+TOKEN = re.compile(r"\w+|:")
+# A mark inside closing quotation marks does not end the clause.
+CLAUSE = re.compile(r"""[.!?;\n|]+(?![.!?;\n|"'”’»“])""")
 
 
 @dataclass
@@ -63,7 +67,7 @@ class Transducer:
         return found
 
 
-SYMBOLS = ("insult", "threat", "target", "negation", "report", "other")
+SYMBOLS = ("insult", "threat", "target", "negation", "report", "colon", "other")
 
 
 def compose(first: Transducer, second: Transducer) -> Transducer:
@@ -83,7 +87,7 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
 
 
 def scope_transducer(reach: int = 3, denied: float = 0.5, reported: float = 0.6) -> Transducer:
-    """A negation weakens the next ``reach`` words, a report the rest of the clause."""
+    """A negation weakens the next ``reach`` words up to a colon, a report the rest of the clause."""
     arcs = {}
     for report in (False, True):
         weight = reported if report else 1.0
@@ -94,9 +98,25 @@ def scope_transducer(reach: int = 3, denied: float = 0.5, reported: float = 0.6)
                 arcs[state, symbol] = (symbol, scale, after)
             arcs[state, "negation"] = ("negation", 1.0, (report, reach))
             arcs[state, "report"] = ("report", 1.0, (True, left))
+            arcs[state, "colon"] = ("colon", 1.0, (report, 0))
     return Transducer((False, 0), arcs)
 
 
+def trailing_transducer(reach: int = 4, reported: float = 0.6) -> Transducer:
+    """Reads a clause from its end: a report among the last ``reach`` words weakens what stands
+    before it. Without an insult or threat in between, as that would be what is told."""
+    arcs = {}
+    for left in range(reach + 1):
+        for symbol in SYMBOLS:
+            over = symbol in ("insult", "threat", "colon")
+            arcs[left, symbol] = (symbol, 1.0, 0 if over else max(0, left - 1))
+        if left:
+            arcs[left, "report"] = ("report", 1.0, "told")
+    for symbol in ("insult", "threat"):
+        arcs["told", symbol] = (symbol, reported, "told")
+    return Transducer(reach, arcs)
+
+
 def clause_transducer(aimed: float = 1.5, unaimed_threat: float = 0.25) -> Transducer:
     """An insult counts more behind a target; a threat without one counts little."""
     return Transducer("free", {
@@ -104,6 +124,7 @@ def clause_transducer(aimed: float = 1.5, unaimed_threat: float = 0.25) -> Trans
         ("free", "threat"): ("threat", unaimed_threat, "free"),
         ("aimed", "insult"): ("insult", aimed, "aimed"),
         ("aimed", "threat"): ("threat", 1.0, "aimed"),
+        ("aimed", "colon"): ("colon", 1.0, "free"),
     })
 
 
@@ -115,7 +136,9 @@ class Grammar:
         self.classes = {w: (kind, SEED_WEIGHT) for kind, listed in (
             ("report", REPORTS), ("negation", NEGATIONS), ("target", TARGETS),
             ("threat", THREATS), ("insult", INSULTS)) for w in listed.split()}
+        self.classes[":"] = ("colon", 0.0)
         self.machine = compose(scope_transducer(), clause_transducer())
+        self.backwards = trailing_transducer()
         self._known: dict[str, tuple[str, float]] = {}
 
     def lexical(self, word: str) -> tuple[str, float]:
@@ -130,13 +153,20 @@ class Grammar:
         return found
 
     def clause(self, words: list[str]) -> float:
-        state, total = self.machine.start, 0.0
-        for word in words:
-            symbol, weight = self.lexical(word)
+        """Weight of a clause, given as its words and colons."""
+        state, found, told = self.machine.start, [], False
+        read = [self.lexical(word) for word in words]
+        for at, (symbol, weight) in enumerate(read):
             out, scale, state = self.machine.step(state, symbol)
+            told = told or symbol == "report"
             if out in ("insult", "threat"):
-                total += weight * scale
-        return total
+                found.append((at, weight * scale))
+        if not found or not told:
+            return sum(weight for _, weight in found)
+        state, behind = self.backwards.start, {}
+        for at in range(len(read) - 1, -1, -1):
+            _, behind[at], state = self.backwards.step(state, read[at][0])
+        return sum(weight * behind[at] for at, weight in found)
 
     def text(self, text: str) -> float:
         """Sum over matched clauses, on a log scale; 0 if no clause matches."""
@@ -148,7 +178,7 @@ class Grammar:
                 break
         if not hot:
             return 0.0
-        return math.log1p(sum(self.clause(WORD.findall(c)) for c in CLAUSE.split(lowered)))
+        return math.log1p(sum(self.clause(TOKEN.findall(c)) for c in CLAUSE.split(lowered)))
 
 
 def keys_of(text: str) -> set[str]:

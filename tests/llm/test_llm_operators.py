@@ -133,6 +133,20 @@ def test_top_k(spark):
     assert topk.top_k(table.limit(0)).count() == 0
 
 
+def test_uniform_cutoff_sends_few_entries_and_all_winners():
+    draw = np.random.default_rng(8)
+    for kind, scale in ((np.float32, 8), (np.int64, 1 << 27)):
+        q, c = (np.floor(scale * draw.normal(size=(n, 16))).astype(kind) for n in (40, 3000))
+        lists = topk._partial_scores(q, c)
+        total = sum(lists).astype(np.int64)
+        cutoff = -np.sort(-total, axis=1)[:, 19]
+        sent = set(zip(*(x.tolist() for x in topk._sent(lists, cutoff.astype(float))), strict=True))
+        assert all((i, j) in sent for i, j in zip(*np.nonzero(total >= cutoff[:, None]), strict=True))
+        assert len(sent) < total.size // 2
+    everything = topk._sent(lists, np.full(40, -np.inf))
+    assert len(everything[0]) == total.size
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(draw.randrange(120), draw.randrange(120)) for _ in range(80)] + [(0, i) for i in range(200, 260)]
@@ -288,6 +302,18 @@ def test_grammar_weighs_clauses():
     assert aimed > plain > denied > 0 and told < aimed and grammar.text("all is well. nothing here") == 0
 
 
+def test_reported_speech_before_and_behind():
+    grammar = toxicity.Grammar({}, {})
+    plain = grammar.text("you scum")
+    for told in ("he said you scum", "he said: you scum", "you scum, he said", "“you scum!” he said",
+                 '"You scum," the man said', "she wrote: 'you scum'"):
+        assert 0 < grammar.text(told) < plain, told
+    # a new sentence is not told, nor is what a verb far from the end follows; a colon ends the address
+    assert grammar.text("he said so. you scum") == plain
+    assert grammar.text("you scum, they said no more of it on the next day") == plain
+    assert grammar.text("you: scum") == grammar.text("that scum")
+
+
 def test_decontamination(spark, odd):
     item = words(50, 40)
     edited = item[:10] + ["other"] + item[12:30] + ["more", *item[30:]]
