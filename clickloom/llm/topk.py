@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from clickloom.llm.common import stored
 
-LISTS = 4
+LISTS = 2  # the cutoff is shared by the lists, so fewer send fewer entries
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
 QUERIES_AT_ONCE = 256
 
@@ -92,7 +92,7 @@ def _sent(lists: list[np.ndarray], cutoff: np.ndarray) -> tuple[np.ndarray, np.n
     sent = np.zeros(lists[0].shape, bool)
     for partial in lists:
         sent |= partial >= share
-    return np.nonzero(sent)
+    return np.divmod(np.flatnonzero(sent), sent.shape[1])
 
 
 def _resolved(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
