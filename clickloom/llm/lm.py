@@ -131,9 +131,14 @@ class Beginnings:
             if found is None:
                 b = self.coder(word)
                 seen = []
+                total = self.total.get(b[:2])
                 for at in range(2, len(b) + 1, 2):
+                    if not total:  # no longer beginning is known either
+                        seen += [0] * (3 * (len(b) - at + 2) // 2)
+                        break
                     more = self.ends.get(b, 0) if at == len(b) else self.total.get(b[:at + 2], 0)
-                    seen += [self.total.get(b[:at], 0), more, self.rest.get(b[:at], 0)]
+                    seen += [total, more, self.rest[b[:at]]]
+                    total = more
                 found = b, np.array(seen, np.float32).tobytes()
                 if len(word) < 64:
                     if len(known) >= 150_000:
@@ -259,7 +264,7 @@ def attend(w: dict[str, np.ndarray], at: np.ndarray) -> tuple:
     np.minimum(a, 60, out=a)
     np.exp(a, out=a)
     a *= _CAUSAL.astype(a.dtype)
-    total = a.sum(axis=2, keepdims=True)
+    total = a @ np.ones((WINDOW, 1), a.dtype)
     mixed = (a @ v) / total
     h = x + mixed @ w["o"]
     return x, q, k, v, a, total, mixed, h
@@ -270,9 +275,8 @@ def gradients(w: dict[str, np.ndarray], at: np.ndarray, target: np.ndarray, coun
     x, q, k, v, a, total, mixed, h = attend(w, at)
     logits = h @ w["c"] + w["bc"]
     a = a / total
-    logits = logits - logits.max(axis=2, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=2, keepdims=True)
+    p = np.exp(np.clip(logits, -60, 60))
+    p /= p @ np.ones((CLASSES, 1), p.dtype)
     n = max(1, counted.sum())
     picked = np.take_along_axis(p, target[..., None], 2)[..., 0]
     loss = -(np.log(picked + 1e-12) * counted).sum() / n
@@ -285,7 +289,9 @@ def gradients(w: dict[str, np.ndarray], at: np.ndarray, target: np.ndarray, coun
     g["o"] = flat(mixed).T @ flat(dh)
     da = dmixed @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dmixed
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) / math.sqrt(WIDTH)
+    da -= np.einsum("wij,wij->wi", da, a)[..., None]
+    da *= a
+    ds = da * da.dtype.type(1 / math.sqrt(WIDTH))
     dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2)
     g["qkv"] = flat(x).T @ flat(dqkv)
     dx = dh + dqkv @ w["qkv"].T
