@@ -39,7 +39,7 @@ KEPT_IDS = 1022  # the most frequent subword ids; the others share a place, thos
 OTHER, OPENER, END, BOUNDARY, BEGIN = KEPT_IDS, KEPT_IDS + 1, KEPT_IDS + 2, KEPT_IDS + 2, KEPT_IDS + 2
 PLACES = KEPT_IDS + 2
 CLASSES, OPENING, WIDTH = 48, 42, 16
-WINDOW, OVERLAP = 64, 32
+WINDOW, OVERLAP = 64, 32  # half-windows, see class_shares
 ROUNDS, RATE, BATCH = 4, 0.02, 32
 SHARE = 0.4  # of a word's share in the corpus in its probability
 SMOOTHING = 0.1
@@ -254,66 +254,133 @@ def initial_weights(embedded: np.ndarray, kind: np.ndarray) -> dict[str, np.ndar
 
 
 _CAUSAL = np.tril(np.ones((WINDOW, WINDOW)))
+_OPENING = np.stack([np.ones(CLASSES), np.arange(CLASSES) < OPENING], axis=1)  # sums of all, of the opening ones
+_flat = lambda m: m.reshape(-1, m.shape[-1])
+
+
+def _scaled(w: dict[str, np.ndarray]) -> np.ndarray:
+    """The projection to queries, keys and values, with the scale of the products in the queries."""
+    scale = np.ones(3 * WIDTH, w["qkv"].dtype)
+    scale[:WIDTH] = 1 / math.sqrt(WIDTH)
+    return scale
+
+
+def _exponentials(q: np.ndarray, k: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """exp of the products of queries and keys where a query may look, else 0."""
+    a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+    if (q ** 2).sum(axis=2).max(initial=0) * (k ** 2).sum(axis=2).max(initial=0) > 3600:
+        np.minimum(a, 60, out=a)  # products beyond 60 can only occur here
+    np.exp(a, out=a)
+    a *= allowed
+    return a
 
 
 def attend(w: dict[str, np.ndarray], at: np.ndarray) -> tuple:
     """Hidden states, last, for windows of places (windows, WINDOW), by masked attention."""
-    x = w["embed"][at] + w["place"]
-    q, k, v = np.split(x @ w["qkv"], 3, axis=2)
-    a = (q * x.dtype.type(1 / math.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
-    np.minimum(a, 60, out=a)
-    np.exp(a, out=a)
-    a *= _CAUSAL.astype(a.dtype)
-    total = a @ np.ones((WINDOW, 1), a.dtype)
-    mixed = (a @ v) / total
-    h = x + mixed @ w["o"]
-    return x, q, k, v, a, total, mixed, h
+    x = w["embed"].take(at, axis=0)
+    x += w["place"]
+    q, k, v = np.split((_flat(x) @ (w["qkv"] * _scaled(w))).reshape(*at.shape, -1), 3, axis=2)
+    a = _exponentials(q, k, _CAUSAL.astype(x.dtype))
+    a /= a @ np.ones((WINDOW, 1), a.dtype)
+    mixed = a @ v
+    h = x + (_flat(mixed) @ w["o"]).reshape(x.shape)
+    return x, q, k, v, a, mixed, h
 
 
 def gradients(w: dict[str, np.ndarray], at: np.ndarray, target: np.ndarray, counted: np.ndarray):
     """Mean cross entropy of the counted positions and its gradient by each weight."""
-    x, q, k, v, a, total, mixed, h = attend(w, at)
-    logits = h @ w["c"] + w["bc"]
-    a = a / total
-    p = np.exp(np.clip(logits, -60, 60))
+    x, q, k, v, a, mixed, h = attend(w, at)
+    p = _flat(h) @ w["c"]
+    p += w["bc"]
+    np.clip(p, -60, 60, out=p)
+    np.exp(p, out=p)
     p /= p @ np.ones((CLASSES, 1), p.dtype)
+    each, target, counted = np.arange(len(p)), target.ravel(), counted.ravel()
     n = max(1, counted.sum())
-    picked = np.take_along_axis(p, target[..., None], 2)[..., 0]
+    picked = p[each, target]
     loss = -(np.log(picked + 1e-12) * counted).sum() / n
-    np.put_along_axis(p, target[..., None], picked[..., None] - 1, 2)
-    d = p * (counted / n)[..., None]
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"c": flat(h).T @ flat(d), "bc": flat(d).sum(axis=0)}
-    dh = d @ w["c"].T
-    dmixed = dh @ w["o"].T
-    g["o"] = flat(mixed).T @ flat(dh)
-    da = dmixed @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dmixed
-    da -= np.einsum("wij,wij->wi", da, a)[..., None]
-    da *= a
-    ds = da * da.dtype.type(1 / math.sqrt(WIDTH))
-    dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2)
-    g["qkv"] = flat(x).T @ flat(dqkv)
-    dx = dh + dqkv @ w["qkv"].T
-    g["place"] = dx.sum(axis=0)
-    cells = at.reshape(-1, 1) * dx.shape[-1] + np.arange(dx.shape[-1])
-    g["embed"] = np.bincount(cells.ravel(), dx.ravel(), w["embed"].size).reshape(w["embed"].shape).astype(dx.dtype)
+    p[each, target] = picked - 1
+    p *= (counted / n).astype(p.dtype)[:, None]
+    g = {"c": _flat(h).T @ p, "bc": p.sum(axis=0)}
+    dh = p @ w["c"].T
+    dmixed = (dh @ w["o"].T).reshape(x.shape)
+    g["o"] = _flat(mixed).T @ dh
+    ds = dmixed @ np.ascontiguousarray(v.transpose(0, 2, 1))
+    ds -= (dmixed * mixed).sum(axis=2)[..., None]
+    ds *= a
+    scaled = _scaled(w)
+    dqkv = np.empty((*at.shape, 3 * WIDTH), x.dtype)
+    np.matmul(ds, k, out=dqkv[..., :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., WIDTH:2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dmixed, out=dqkv[..., 2 * WIDTH:])
+    g["qkv"] = (_flat(x).T @ _flat(dqkv)) * scaled
+    dx = dh + _flat(dqkv) @ (w["qkv"] * scaled).T
+    g["place"] = dx.reshape(x.shape).sum(axis=0)
+    ids = at.ravel().astype(np.uint16)  # places fit; short numbers sort quickly
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    runs = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    g["embed"] = np.zeros_like(w["embed"])
+    g["embed"][ids[runs]] = np.add.reduceat(dx[order], runs, axis=0)
     return loss, g
 
 
-def windows_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of texts of that many predictions laid end to end: the first position of each window
-    and the position in it from which on it scores."""
-    begins, skips, at = [], [], 0
-    step = WINDOW - OVERLAP
-    for size in sizes.tolist():
-        count = 1 + max(0, -(-(size - WINDOW) // step))
-        begins.append(at + step * np.arange(count))
-        skip = np.full(count, OVERLAP)
-        skip[0] = 0
-        skips.append(skip)
-        at += size
-    return np.concatenate(begins), np.concatenate(skips)
+def class_shares(w: dict[str, np.ndarray], sizes: np.ndarray, inputs: np.ndarray, wanted: np.ndarray,
+                 batch: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Of each position of texts laid end to end, the probabilities of the class that is wanted
+    and of the classes that open a word.
+
+    Windows of ``WINDOW`` positions overlap by half. A position is scored in one window: the
+    first window of a text scores all its positions, the others their second half. Only the
+    rows that score are computed, so a batch holds half-windows of queries, each with the keys
+    of its own half and of the half before.
+    """
+    blocks = -(-sizes // OVERLAP)
+    first = np.cumsum(blocks) - blocks
+    # texts are laid out anew, each from the beginning of a half-window on
+    cell = np.arange(len(inputs)) + np.repeat(first * OVERLAP - (np.cumsum(sizes) - sizes), sizes)
+    laid = np.full((blocks.sum() + 1, OVERLAP), BEGIN)  # a half-window in front of all
+    laid.ravel()[cell + OVERLAP] = inputs
+    aim = np.zeros((len(laid) - 1, OVERLAP), np.int64)
+    aim.ravel()[cell] = wanted
+    opens_text = np.zeros(len(aim), bool)
+    opens_text[first] = True
+    # projections of places and of positions in the window add up, so they are looked up
+    both = np.concatenate([w["qkv"] * _scaled(w), w["c"]], axis=1)
+    ids, lines = w["embed"] @ both, w["place"] @ both
+    ids[:, 3 * WIDTH:] += w["bc"]
+    queries, keys, values, classes = np.split(ids, [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=1)
+    values = np.append(values, np.ones((len(values), 1), values.dtype), axis=1)  # sums the weights up as well
+    queries, keys, values, classes = map(np.ascontiguousarray, (queries, keys, values, classes))
+    line_q, line_k, line_v, line_c = np.split(lines, [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=1)
+    line_v = np.append(line_v, np.zeros((WINDOW, 1), line_v.dtype), axis=1)
+    out = w["o"] @ w["c"]
+    allowed = _CAUSAL[OVERLAP:].astype(ids.dtype)
+    picked, opening = np.empty(aim.shape, np.float32), np.empty(aim.shape, np.float32)
+    for at in range(0, len(aim), batch):
+        own = laid[at + 1:at + batch + 1]
+        window = np.concatenate([laid[at:at + len(own)], own], axis=1)
+        start = opens_text[at:at + len(own)]
+        q, logits = queries.take(own, axis=0), classes.take(own, axis=0)
+        k, v = keys.take(window, axis=0), values.take(window, axis=0)
+        for table, line in ((q, line_q), (logits, line_c)):
+            table += line[OVERLAP:]
+            table[start] += line[:OVERLAP] - line[OVERLAP:]
+        for table, line in ((k, line_k), (v, line_v)):
+            table += line
+            table[start, OVERLAP:] += line[:OVERLAP] - line[OVERLAP:]
+        a = _exponentials(q, k, allowed)
+        a[start, :, :OVERLAP] = 0  # no half-window before
+        mixed = a @ v
+        logits = _flat(logits)
+        mixed = _flat(mixed)
+        logits += (mixed[:, :WIDTH] / mixed[:, WIDTH:]) @ out
+        np.clip(logits, -60, 60, out=logits)
+        np.exp(logits, out=logits)
+        sums = logits @ _OPENING.astype(logits.dtype)
+        picked[at:at + len(own)] = (logits[np.arange(len(logits)), aim[at:at + len(own)].ravel()] / sums[:, 0]).reshape(own.shape)
+        opening[at:at + len(own)] = (sums[:, 1] / sums[:, 0]).reshape(own.shape)
+    return picked.ravel()[cell], opening.ravel()[cell]
 
 
 def _laid_out(model_place: np.ndarray, texts: list[np.ndarray]):
@@ -329,24 +396,15 @@ def _laid_out(model_place: np.ndarray, texts: list[np.ndarray]):
     return sizes, inputs, targets
 
 
-def _batches(sizes: np.ndarray, batch: int):
-    """Index of positions (windows, WINDOW) and which of them count, batch by batch."""
-    begins, skips = windows_of(sizes)
-    ends = np.repeat(np.cumsum(sizes), [1 + max(0, -(-(s - WINDOW) // (WINDOW - OVERLAP))) for s in sizes.tolist()])
-    line = np.arange(WINDOW)
-    for at in range(0, len(begins), batch):
-        position = begins[at:at + batch, None] + line
-        counted = (position < ends[at:at + batch, None]) & (line >= skips[at:at + batch, None])
-        yield np.minimum(position, ends[at:at + batch, None] - 1), counted
-
-
 class Trainer:
     """Adam over the windows of one partition, from given weights."""
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float) -> None:
-        self.w = {k: v.astype(np.float32) for k, v in weights.items()}
+        self.every = np.concatenate([v.ravel() for v in weights.values()]).astype(np.float32)
+        cuts = np.cumsum([v.size for v in weights.values()])[:-1]
+        self.w = {k: part.reshape(v.shape) for (k, v), part in zip(weights.items(), np.split(self.every, cuts), strict=True)}
         self.rate, self.steps, self.windows = rate, 0, 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+        self.first, self.second = np.zeros_like(self.every), np.zeros_like(self.every)
         self.random = np.random.default_rng(9)
 
     def read(self, place: np.ndarray, kind: np.ndarray, texts: list[np.ndarray]) -> None:
@@ -368,11 +426,19 @@ class Trainer:
     def step(self, g: dict[str, np.ndarray]) -> None:
         self.steps += 1
         n, rate = self.steps, self.rate * min(1.0, self.steps / 20)
-        for name, w in self.w.items():
-            first, second = self.first[name], self.second[name]
-            first += np.float32(0.1) * (g[name] - first)
-            second += np.float32(0.02) * (g[name] ** 2 - second)
-            w -= np.float32(rate / (1 - 0.9 ** n)) * first / (np.sqrt(second / np.float32(1 - 0.98 ** n)) + np.float32(1e-8))
+        g = np.concatenate([g[name].ravel() for name in self.w])
+        self.first *= np.float32(0.9)
+        self.first += np.float32(0.1) * g
+        g *= g
+        g *= np.float32(0.02)
+        self.second *= np.float32(0.98)
+        self.second += g
+        down = np.sqrt(self.second)
+        down *= np.float32(1 / math.sqrt(1 - 0.98 ** n))
+        down += np.float32(1e-8)
+        np.divide(self.first, down, out=down)
+        down *= np.float32(rate / (1 - 0.9 ** n))
+        self.every -= down
 
 
 def fit(w: dict[str, np.ndarray], place: np.ndarray, kind: np.ndarray, train: DataFrame,
@@ -395,7 +461,7 @@ def fit(w: dict[str, np.ndarray], place: np.ndarray, kind: np.ndarray, train: Da
                 trainer.read(place, kind, [np.frombuffer(b"".join(map(ids, words_of(t.as_py()))), np.uint16)
                                            for t in batch.column("text")])
             if trainer.windows:
-                flat = np.concatenate([trainer.w[name].ravel() for name in shapes]).astype(float)
+                flat = trainer.every.astype(float)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat, 1.0) * trainer.windows)], ["at", "v"])
 
@@ -427,17 +493,7 @@ def position_logs(model: Model, texts: list[np.ndarray], counts: list[np.ndarray
         at += size
     before[~opens] = inputs[~opens]
     within = model.pair[before, targets] * np.float32(math.log(10)) + extra * np.float32(math.log(10))
-    kinds = model.kind[targets]
-    picked, opening = np.empty(n, np.float32), np.empty(n, np.float32)
-    for position, counted in _batches(sizes, 64):
-        some = position[counted]
-        logits = attend(model.weights, inputs[position])[-1][counted] @ model.weights["c"]
-        logits += model.weights["bc"]
-        np.clip(logits, -60, 60, out=logits)
-        np.exp(logits, out=logits)
-        every = logits.sum(axis=1)
-        picked[some] = logits[np.arange(len(some)), kinds[some]] / every
-        opening[some] = logits[:, :OPENING].sum(axis=1) / every
+    picked, opening = class_shares(model.weights, sizes, inputs, model.kind[targets])
     total, more, rest = seen.T
     rest = np.maximum(rest, 0) + np.float32(TRUST)
     # what opens a word shares the count of the words that end here by the model alone

@@ -421,11 +421,26 @@ def test_language_model_gradients():
         assert abs(g[name][place] - (losses[0] - losses[1]) / 2e-5) < 1e-6
 
 
-def test_windows_score_each_position_once():
-    for size in (1, 5, 63, 64, 65, 96, 97, 300):
-        sizes = np.array([size, 3])
-        found = np.concatenate([p[c] for p, c in lm._batches(sizes, 4)])
-        assert sorted(found.tolist()) == list(range(size + 3))
+def test_half_windows_score_like_whole_windows():
+    random_ = np.random.default_rng(4)
+    kind = np.append(random_.integers(0, lm.CLASSES, lm.PLACES), 0)
+    w = lm.initial_weights(random_.normal(size=(lm.PLACES, lm.WIDTH)), kind)
+    sizes = np.array([1, 5, 31, 32, 33, 63, 64, 65, 96, 97, 300, 1])
+    inputs, wanted = random_.integers(0, lm.PLACES, sizes.sum()), random_.integers(0, lm.CLASSES, sizes.sum())
+    half, at, expected = lm.WINDOW - lm.OVERLAP, 0, []
+    for size in sizes.tolist():
+        text = inputs[at:at + size]
+        for begin in range(0, max(1, size - lm.OVERLAP), half):  # every window of the text
+            window = np.resize(text[begin:begin + lm.WINDOW], lm.WINDOW)[None]
+            p = np.exp(lm.attend(w, window)[-1][0] @ w["c"] + w["bc"])
+            p /= p.sum(axis=1, keepdims=True)
+            for row in range(lm.OVERLAP if begin else 0, min(lm.WINDOW, size - begin)):
+                expected.append((p[row, wanted[at + begin + row]], p[row, :lm.OPENING].sum()))
+        at += size
+    assert len(expected) == sizes.sum()
+    for batch in (1, 3, 128):
+        got = np.stack(lm.class_shares(w, sizes, inputs, wanted, batch), axis=1)
+        assert np.allclose(got, expected, rtol=1e-5, atol=1e-9)
 
 
 def test_work_folder(spark):
