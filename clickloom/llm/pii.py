@@ -41,15 +41,13 @@ TERM = "term"
 # Words of three letters or more, between white space and common punctuation.
 WORD = (r"""(?<![^\s"'(\[«“„])\p{L}(?:[\p{L}'’-]{1,38}\p{L})(?![\p{L}'’-])"""
         r"""(?=[)\]"',.;:!?»”]*+(?:\s|$))""")
-NEAR_WORDS, NEAR_CHARS = 8, 160
+NEAR_WORDS = 8
 THRESHOLD = 0.8
 # Different texts that must show a word with an entity.
 SUPPORT = 3
 # Letters that stay of a generalised word.
 STEM = 4
 _BLOCK = 256
-# Marks the side of a context where a span goes on; no word stands beside it.
-_EDGE = "@"
 
 
 def _running(lengths: Column, start: Column | int = 0) -> Column:
@@ -109,7 +107,7 @@ def _located(docs: DataFrame, keep: list[str]) -> DataFrame:
     valid = F.filter(spans, lambda s: _valid(s["kind"], s["value"]))
     return placed.select(
         "doc", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("t1"),
-        F.crc32(text.cast("binary")).alias("t2"), F.array_sort(valid).alias("base"))
+        F.crc32(text.cast("binary")).alias("t2"), F.array_sort(valid).alias("base"), "text")
 
 
 def _fields(struct: Column, *names: str) -> list[Column]:
@@ -122,47 +120,57 @@ def _steps(values: Column, gaps: Column) -> Column:
 
 
 def _span(kind: Column, value: Column, i: Column) -> Column:
-    before, after = F.get(kind["gaps"], i), F.get(kind["gaps"], i + 1)
-    start = F.get(kind["begins"], i) + _length(before)
-    edge, none = F.lit(_EDGE), F.lit("")
-    # A word that the cut of the context breaks is left out of it.
-    lead = F.when(F.length(before) > NEAR_CHARS, F.regexp_replace(
-        F.right(before, F.lit(NEAR_CHARS)), r"\A\S+", "")).otherwise(
-        F.concat(F.when(i > 0, edge).otherwise(none), before))
-    last = i == F.size(kind["values"]) - 1
-    trail = F.when(F.length(after) > NEAR_CHARS, F.regexp_replace(
-        F.left(after, F.lit(NEAR_CHARS)), r"\S+\z", "")).otherwise(
-        F.concat(after, F.when(last, none).otherwise(edge)))
+    start = F.get(kind["begins"], i) + _length(F.get(kind["gaps"], i))
     return F.struct(
         start.alias("start"), kind["rank"].alias("rank"), (start + _length(value)).alias("end"),
-        kind["kind"].alias("kind"), value.alias("value"),
-        F.concat(lead, edge).alias("before"), F.concat(edge, trail).alias("after"))
+        kind["kind"].alias("kind"), value.alias("value"))
 
 
-def _words(context: Column, at: Column) -> Column:
-    """The words of a short text that begins at ``at``: array of term, start, end."""
-    values = F.regexp_extract_all(context, F.lit(WORD), F.lit(0))
-    gaps = F.split(context, WORD, -1)
-    begins = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), _running(_steps(values, gaps), at),
+def _words(text: Column) -> Column:
+    """The words of a text: array of term, start, end."""
+    values = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    gaps = F.split(text, WORD, -1)
+    begins = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), _offsets(_steps(values, gaps)),
                         lambda g, b: b + _length(g))
     return F.zip_with(values, begins, lambda v, b: F.struct(
         F.lower(v).alias("term"), b.alias("start"), (b + _length(v)).alias("end")))
 
 
+def _counts_before(marks: Column) -> Column:
+    """For ``marks`` of words (what 0 or 2) and spans (what 1, with their index), the number of
+    words ahead of each span, in the order of the spans."""
+    ordered = F.array_sort(marks)
+    ahead = _offsets(F.transform(ordered, lambda m: F.when(m["what"] == 1, 0).otherwise(1).cast("bigint")))
+    spans = F.filter(F.zip_with(ordered, ahead, lambda m, n: F.struct(
+        m["what"].alias("what"), m["i"].alias("i"), n.alias("n"))), lambda m: m["what"] == 1)
+    return F.transform(F.array_sort(F.transform(spans, lambda m: F.struct(m["i"].alias("i"), m["n"].alias("n")))),
+                       lambda m: m["n"])
+
+
 def _mentions(base: DataFrame) -> DataFrame:
-    """row, text key and entity of each base span, with each word near it and its place."""
-    one = base.select("row", "t1", "t2", F.explode("base").alias("s"))
-    digits = F.regexp_replace("s.value", "[^0-9]", "")
-    entity = F.when(F.col("s.kind") == "email", F.lower("s.value")).when(
-        F.col("s.kind") == "ip", F.col("s.value")).otherwise(digits)
-    both = one.select(
-        "row", "t1", "t2", F.concat_ws(":", "s.kind", entity).alias("entity"),
-        _words(F.col("s.before"), F.col("s.start") + 1 - _length(F.col("s.before"))).alias("left"),
-        _words(F.col("s.after"), F.col("s.end") - 1).alias("right"))
-    skip = F.greatest(F.size("left") - NEAR_WORDS, F.lit(0)) + 1
-    near = F.concat(F.slice("left", skip, F.lit(NEAR_WORDS)), F.slice("right", F.lit(1), F.lit(NEAR_WORDS)))
-    return both.select("row", "t1", "t2", "entity", F.explode_outer(near).alias("w")).select(
-        "row", "t1", "t2", "entity", "w.*")
+    """row, text key and entity of each base span, with each word near it and its place.
+
+    The words are those of the whole text: the last ``NEAR_WORDS`` that end before the span and
+    the first that begin behind it, however far off, and other spans in between.
+    """
+    words = F.col("words")
+    # Words that end by a span's start lie before it; those that begin before its end, up to it.
+    mark = lambda pos, what, i: F.struct(pos.alias("pos"), F.lit(what).alias("what"), i.alias("i"))
+    spans_at = lambda pos: F.transform("base", lambda s, i: mark(s[pos], 1, i))
+    before = _counts_before(F.concat(F.transform(words, lambda w: mark(w["end"], 0, F.lit(0))), spans_at("start")))
+    upto = _counts_before(F.concat(spans_at("end"), F.transform(words, lambda w: mark(w["start"], 2, F.lit(0)))))
+    one = base.where(F.size("base") > 0).select("row", "t1", "t2", "base", _words(F.col("text")).alias("words")).select(
+        "row", "t1", "t2", F.explode(F.arrays_zip(
+            F.col("base").alias("s"), before.alias("lo"), upto.alias("hi"))).alias("z"), "words")
+    digits = F.regexp_replace("z.s.value", "[^0-9]", "")
+    entity = F.when(F.col("z.s.kind") == "email", F.lower("z.s.value")).when(
+        F.col("z.s.kind") == "ip", F.col("z.s.value")).otherwise(digits)
+    lo, hi = F.col("z.lo"), F.col("z.hi")
+    first = F.greatest(lo - NEAR_WORDS, F.lit(0))
+    near = F.concat(F.slice(words, (first + 1).cast("int"), (lo - first).cast("int")),
+                    F.slice(words, (hi + 1).cast("int"), F.lit(NEAR_WORDS)))
+    return one.select("row", "t1", "t2", F.concat_ws(":", "z.s.kind", entity).alias("entity"),
+                      F.explode_outer(near).alias("w")).select("row", "t1", "t2", "entity", "w.*")
 
 
 def _stem(term: Column) -> Column:

@@ -279,6 +279,21 @@ def test_disclosing_words(spark):
     assert len(flagged) == 12
 
 
+def test_near_words_however_far_and_past_other_spans(spark):
+    """Within eight words counts words, not characters, and other spans are no wall."""
+    gap = " " + "-" * 200 + " "
+    texts = [f"alpha beta Quillon{gap}ann.b@mail.org zed{i}@mail.org Vexhold gamma" for i in range(4)]
+    texts += [f"alpha beta gamma delta {i}" for i in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = brute_disclosures(texts, 3)
+    assert {("email:ann.b@mail.org", "quillon"), ("email:ann.b@mail.org", "vexhold")} <= set(expected)
+    base = common.stored(pii._located(docs, ["doc_id"]), "base-far")
+    got = pii._disclosures(docs, base, common.stored(pii._mentions(base), "mentions-far"), 3).collect()
+    assert {(r["entity"], r["term"]) for r in got} == set(expected)
+    for r in got:
+        assert math.isclose(r["disclosure"], expected[r["entity"], r["term"]][0], abs_tol=1e-9)
+
+
 # Crowded buckets of near-duplicates ----------------------------------------------------------
 
 def crowded_texts(count, template, own, seed=1):
