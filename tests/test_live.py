@@ -223,6 +223,21 @@ def test_replay_stops_and_resumes_without_gap_or_repeat(spark, events, monkeypat
     assert spark.read.parquet(out).count() == len(seen)
 
 
+def test_replay_keeps_keys_whole_in_jobs_that_do_not_grow_with_the_pages(spark, events):
+    rows = [("s", "BOOKING", f"00:{i // 60:02d}:{i % 60:02d}", 1.0, 1.0, 1.0) for i in range(120)]
+    source = events(*rows)
+    source = source.unionByName(source.where("event_id IN ('000002', '000003')"))  # keys of two events
+    path, context = work_path(spark, "replay-jobs"), spark.sparkContext
+    context.setJobGroup("replay-jobs", "replay")
+    try:
+        assert replay.replay(source, path, rows=3) == 41
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("replay-jobs")) < 41
+    sizes = {r["page"]: r["count"] for r in spark.read.text(replay.feed(path)).groupBy("page").count().collect()}
+    assert sizes == {0: 4, 1: 3, 40: 1} | {page: 3 for page in range(2, 40)}
+
+
 # Frozen dimensions --------------------------------------------------------------------------------
 
 def test_frozen_dimension_is_joined_where_it_lies(spark, feed):
