@@ -53,7 +53,8 @@ def replay(events: DataFrame, path: str, names: Iterable[str] = KNOWN_EVENTS,
     paged = keys.select("event_time", "event_id", place.cast("long").alias("page"))
     if ending is not None:
         paged = paged.where(F.col("page") < ending)
-    published = left.join(paged, ["event_time", "event_id"])
+    # A page's events go to one task, so that each page folder holds one file.
+    published = left.join(paged, ["event_time", "event_id"]).repartition("page")
     # The messages of encode, with the page beside them.
     messages = temporals_as_text(published).select(F.to_json(F.struct(*left.columns)).alias("value"), "page")
     messages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
