@@ -108,3 +108,18 @@ def test_breakdowns_read_only_the_columns_they_use(spark):
     category = scans(found["sales_by_category"](spark, sf_dir))
     assert category["part"] == {"p_partkey", "p_type", "p_brand"} and set(category) == {"events", "part"}
     assert set(scans(found["key_figures"](spark, sf_dir))) == {"events"}
+
+
+def test_a_micro_batch_is_parsed_and_enriched_once(spark):
+    path, feed = work_path(spark, "rollup"), Feed(spark)
+    feed.publish(*rows_with_customers(3, 60, 10))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(quantity):
+        seen.add(1)
+        return quantity
+
+    once = F.udf(counted, "double")
+    events = attributed(feed.events()).withColumn("quantity", once(F.col("quantity").cast("double")))
+    sinks.drain(rollups.rollup_writer(events, path, f"{path}/cp"))
+    assert seen.value == 60
