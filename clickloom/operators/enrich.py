@@ -70,7 +70,9 @@ def lookup(events: DataFrame, dimension: DataFrame, key: str, salts: int = 1,
     if salts > 1:
         events = events.withColumn(_SALT, F.pmod(spread, F.lit(salts)))
         copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
-        renamed = renamed.withColumn("_dim_salt", copies)
+        # The copies are there to be dealt out by a shuffle; a broadcast would hold all of
+        # them in every task, ``salts`` times the dimension.
+        renamed = renamed.withColumn("_dim_salt", copies).hint("merge")
         on = on & (F.col(_SALT) == F.col("_dim_salt"))
     joined = events.join(renamed, on, "left")
 

@@ -82,6 +82,16 @@ def test_shuffled_and_salted_lookup_equal_the_broadcast_one(spark, customers, sa
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
 
 
+def test_salted_copies_are_shuffled_not_broadcast(spark, customers):
+    clicks = spark.range(3000).select(
+        (F.col("id") % 4).cast("bigint").alias("customer_id"), F.col("id").alias("event_id"))
+    expected = lookup(clicks, customers, "customer_id").collect()
+    salted = lookup(clicks, customers, "customer_id", 8)
+    rows = salted.collect()
+    assert "BroadcastHashJoin" not in plan_of(salted)
+    assert sorted(rows, key=lambda r: r.event_id) == sorted(expected, key=lambda r: r.event_id)
+
+
 def test_small_dimensions_are_broadcast(spark, tmp_path, clicks, customers, products):
     customers.write.parquet(str(tmp_path / "c"))
     products.write.parquet(str(tmp_path / "p"))
