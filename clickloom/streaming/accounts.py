@@ -7,6 +7,8 @@ metrics: those count a task's rows again when it is repeated for a lost executor
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,6 +45,20 @@ class Accounts:
         return rows.where(timed & ~late), seen["newest"]
 
 
+def read_once(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``write`` for ``foreachBatch`` with its micro-batch cached: the books, the late events
+    and the writer's own tables read it, and its messages are parsed once for all of them."""
+
+    def cached(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return cached
+
+
 def accounts(spark: SparkSession, path: str) -> DataFrame:
     """One row per micro-batch: events read, on time, late and untimed."""
     return spark.read.schema(_ACCOUNTS).parquet(f"{path}/accounts").drop("batch")

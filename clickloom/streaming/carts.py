@@ -29,7 +29,7 @@ from clickloom.operators.abandonment import (
     totals_of_cart_panes,
 )
 from clickloom.operators.sliding import LIVE, MICROS, Sliding
-from clickloom.streaming.accounts import Accounts
+from clickloom.streaming.accounts import Accounts, read_once
 from clickloom.streaming.state import carried, carry, prepare
 
 _PROGRESS = "watermark BIGINT"
@@ -75,7 +75,7 @@ def abandonment_writer(events: DataFrame, path: str, checkpoint: str, sliding: S
         carry(spark.createDataFrame([(watermark,)], _PROGRESS), f"{path}/progress", batch_id)
 
     return events.writeStream.outputMode("append").option(
-        "checkpointLocation", checkpoint).foreachBatch(write)
+        "checkpointLocation", checkpoint).foreachBatch(read_once(write))
 
 
 def _sum_up(spark, path: str, batch_id: int, sliding: Sliding, before: int | None,

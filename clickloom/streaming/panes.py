@@ -21,7 +21,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from clickloom.operators.funnel import COUNTS, event_counts, funnel_of_panes
 from clickloom.operators.sliding import LIVE, MICROS, Sliding, span_of
 from clickloom.operators.trending import TOP, product_panes, top_of_panes, totals_of_panes
-from clickloom.streaming.accounts import Accounts
+from clickloom.streaming.accounts import Accounts, read_once
 from clickloom.streaming.state import carried, carry, drop_folder, prepare
 
 Fold = Callable[[DataFrame], DataFrame]
@@ -90,7 +90,7 @@ def windows_writer(events: DataFrame, fold: Fold, sums: list[str], derive: dict[
             _drop_stretches(spark, f"{path}/panes", (before - n) // sliding.span)
 
     return events.writeStream.outputMode("append").option(
-        "checkpointLocation", checkpoint).foreachBatch(write)
+        "checkpointLocation", checkpoint).foreachBatch(read_once(write))
 
 
 def _drop_stretches(spark: SparkSession, path: str, oldest: int) -> None:

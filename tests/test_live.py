@@ -283,3 +283,24 @@ def test_events_without_a_key_are_dealt_out(spark):
         for key, value in keep.items():
             spark.conf.set(key, value)
     assert len(sizes) == 8 and max(sizes) < 2 * 2000 / 8
+
+
+@pytest.mark.parametrize("writer", ["carts", "panes"])
+def test_a_micro_batch_is_parsed_once(spark, feed, writer):
+    path = work_path(spark, "once")
+    # late events too, which the books keep apart
+    feed.publish(("a", "ADD_TO_CART", "01:00:00", 1.0, 1.0, 7.0), ("b", "NOOP", "01:01:00", 1.0, 1.0, 5.0))
+    feed.publish(("a", "BOOKING", "00:20:00", 1.0, 1.0, 7.0), ("c", "ADD_TO_CART", "01:30:00", 1.0, 1.0, 5.0))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(quantity):
+        seen.add(1)
+        return quantity
+
+    once = F.udf(counted, "double")
+    events = feed.events().withColumn("quantity", once(F.col("quantity").cast("double")))
+    if writer == "carts":
+        sinks.drain(carts.abandonment_writer(events, path, f"{path}/cp", SHAPE))
+    else:
+        sinks.drain(panes.trending_writer(events, path, f"{path}/cp", SHAPE))
+    assert seen.value == 4
