@@ -237,7 +237,10 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     labels = spark.createDataFrame([], "node long, label long")
     tested = spark.createDataFrame([], "a long, b long")
     served = spark.createDataFrame([], "bucket long, node long")
-    for turn, count in enumerate((*PIVOTS, 0)):
+    bags = None
+    # Rounds over buckets, then over the rare shingles of the crowded texts; a last round
+    # of each stage leaves pivots for a full join.
+    for turn, count in enumerate((*PIVOTS, 0, *PIVOTS, 0)):
         state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         top = state.groupBy("bucket").agg(
             F.max(F.struct("score", -F.col("node"), "node", "label", "n")).alias("top"),
@@ -246,11 +249,20 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                                                F.col("top.node").alias("top")), "bucket").select(
             "bucket", "node", "n", "score", "label", "main", "top"), "open-buckets")
         outside = members.where("label <> main").join(served, ["bucket", "node"], "left_anti")
-        if not count:
+        if not count and bags is None:
             crowded = members.join(outside.select("bucket").distinct(), "bucket", "left_semi")
-            pairs = rare_pairs(crowded.select("node", "label").distinct(), texts, similarity)
+            bags = _rare_bags(crowded.select("node", "label").distinct(), texts, similarity)
+            # texts that share a rare shingle are first compared with pivots, so a large
+            # group of near copies is linked before the join of all its pairs
+            members = _token_members(bags)
+            served = spark.createDataFrame([], "bucket long, node long")
+            continue
+        if not count:
+            fresh = bags.drop("label").join(labels, "node", "left").withColumn(
+                "label", F.coalesce("label", "node"))
+            pairs = _prefix_pairs(fresh, similarity)
         else:
-            if turn == 0:
+            if count == PIVOTS[0]:
                 pivots = members.where("node = top")
             else:
                 pivots = outside.groupBy("bucket", F.pmod(
@@ -291,6 +303,11 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
     differ in no more bits than shingles may differ: each shingle sets one bit, so one that
     only one text has changes one bit at most.
     """
+    return _prefix_pairs(_rare_bags(nodes, texts, similarity), similarity)
+
+
+def _rare_bags(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """node, label, n, tokens (the rarest shingles that a text offers), bits (its signature)."""
     own = stored(texts.join(nodes, "node").select("node", "label", "text"), "crowded-texts")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,8 +356,21 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARIT
                  pa.array(chosen, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int64()))],
                 ["node", "label", "n", "tokens", "bits"])
 
-    bags = stored(own.mapInArrow(
+    return stored(own.mapInArrow(
         offered, "node long, label long, n long, tokens array<long>, bits array<long>"), "rare-shingles")
+
+
+def _token_members(bags: DataFrame) -> DataFrame:
+    """bucket (a rare shingle that more texts offer), node, n, score, as of sketch buckets."""
+    member = bags.select("node", "n", F.explode("tokens").alias("bucket"))
+    sizes = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    member = member.join(sizes, "bucket")
+    score = member.groupBy("node").agg(F.sum("size").alias("score"))
+    return stored(member.drop("size").join(score, "node"), "token-members")
+
+
+def _prefix_pairs(bags: DataFrame, similarity: float) -> DataFrame:
+    """a, b: pairs of texts of different labels that share a rare shingle and may be similar."""
     rows = bags.select("node", "label", "n", F.posexplode("tokens").alias("place", "token"))
     shared = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rows = rows.join(shared.select("token"), "token").join(bags.select("node", "bits"), "node")

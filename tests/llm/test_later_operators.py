@@ -391,3 +391,33 @@ def test_archive_with_a_gzip_member_per_record(spark, tmp_path):
     (tmp_path / "part-1.warc.gz").write_bytes(gzip.compress(b"".join(records)))
     found = warc.read_records(spark, str(tmp_path), payload=True).collect()
     assert sorted(bytes(r["payload"]) for r in found) == sorted([b"hell0", b"hell1", b"hell2"] * 2)
+
+
+def test_a_large_family_of_near_copies_is_not_joined_pair_by_pair(spark, monkeypatch):
+    """Edited copies of one text among texts of one template: classes as by brute force, and
+    the pairs that are aligned grow with the texts, not with the square of the family."""
+    common.ship(spark)
+    draw = random.Random(11)
+    texts = crowded_texts(60, 70, 25, seed=4)
+    words = texts.pop().split()  # the copies' source is not among the texts
+    for _ in range(150):
+        copy = list(words)
+        for _ in range(draw.randrange(1, 5)):
+            at = draw.randrange(70, len(copy))
+            copy = copy[:at] + [f"e{draw.randrange(10**6)}"] + copy[at + draw.randrange(2):]
+        texts.append(" ".join(copy))
+    aligned_pairs = []
+    verified = near._verified
+
+    def counted(pairs, *args):
+        aligned_pairs.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(near, "_verified", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in near.near_duplicates(docs).collect():
+        found.setdefault(r["class_id"], set()).add(r["doc_id"])
+    assert {frozenset(v) for v in found.values()} == brute_classes(texts)
+    # the last pairs are those of the full join; the family is linked before it
+    assert aligned_pairs[-1] < 10
